@@ -1,3 +1,26 @@
 """Independent SQL of those queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_P3 = """
+WITH t AS (
+  SELECT doc_id, lower(exact_canon_text) AS low,
+    trim(regexp_replace(lower(exact_canon_text), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS w,
+    string_split(regexp_replace(lower(exact_canon_text),
+      '(^|[^\\p{L}\\p{N}])(title|brand|sku|price|colour|size|weight|stock|city|rating)\\s*:', chr(1) || '\\2 ', 'g'), chr(1)) AS parts
+  FROM mainpipe_cleaned_v5
+), k AS (
+  SELECT doc_id, w, CASE
+    WHEN w = '' OR w IS NULL THEN 'row ' || doc_id
+    WHEN len(parts) > 3 AND regexp_matches(low, '^\\s*(title|brand|sku|price|colour|size|weight|stock|city|rating)\\s*:')
+      THEN 'record ' || array_to_string(list_sort(list_transform(parts[2:],
+        lambda p: trim(regexp_replace(p, '[^\\p{L}\\p{N}]+', ' ', 'g')))), '|')
+    ELSE 'words ' || w END AS g
+  FROM t
+)
+"""
+
+ORACLE: dict[str, str] = {
+    "p3_found": _P3 + """
+SELECT doc_id_a, doc_id_b FROM (SELECT min(doc_id) OVER (PARTITION BY g) AS doc_id_a, doc_id AS doc_id_b FROM k) AS x
+WHERE doc_id_a <> doc_id_b""",
+    "p3_copies": _P3 + "SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM k GROUP BY g",
+}
