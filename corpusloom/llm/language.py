@@ -167,7 +167,7 @@ def units_of(text: str) -> list[tuple[str, bool]]:
     for line in joined:
         for s in _CUT.split(line):
             n = s.count(" ") + 1
-            full = n >= 4 and (_END.search(s) is not None or n >= 9) and ":" not in s[:24] and not s.startswith(("-", "*", "•"))
+            full = n >= 4 and (_END.search(s) is not None or n >= 9) and ":" not in s[:24] and not s.startswith(("-", "*", "•", "~", "☎"))
             out.append((s, full))
     return out
 
