@@ -32,7 +32,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _CUT = re.compile(r"(?<=[.!?…])[\"'”»)]*\s+")
 _END = re.compile(r"[.!?…][\"'”»)*]*$")
 _NO_WORD = re.compile(r"\S*[@\d]\S*|\S+ ?[(\[] ?(?:at|dot) ?[)\]] ?\S+|https?:\S+")
-_NAME = re.compile(r"(?<=[^\W_][,;:)'’]\s|[^\W_]{2}\s)(?:[^\W\d_a-zß-ÿ][^\W\d_]*|[^\W\d_]\.)")
+_ODD = re.compile(r"[@\d]|[(\[] ?(?:at|dot)|://")
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 _CACHE_WORDS = 300_000
 
@@ -40,14 +40,17 @@ _CACHE_WORDS = 300_000
 def evidence(unit: str) -> tuple[list[str], float]:
     """The words of a sentence that tell its language: no addresses, no numbers, no names inside a sentence; and how much
     a sentence of so many such words weighs."""
-    s = _NO_WORD.sub(" ", unit)
-    words = _WORD.findall(s.lower())
-    if not s.isupper():
-        rest = _WORD.findall(_NAME.sub(" ", s).lower())
-        if len(rest) >= 3:
-            return rest, min(1.0, max(LIGHT, (len(rest) - 2) / 4))
-        return words, LIGHT
-    return words, min(1.0, max(LIGHT, (len(words) - 2) / 4))
+    s = _NO_WORD.sub(" ", unit) if _ODD.search(unit) else unit
+    words = _WORD.findall(s)
+    rest = [w for w in words if w.islower()]
+    if len(rest) != len(words):
+        if words[0][:1].isupper() and not words[0].isupper():
+            rest.insert(0, words[0].lower())
+        elif not rest:  # all in capitals
+            rest = [w.lower() for w in words]
+        if len(rest) < 3:
+            return [w.lower() for w in words], LIGHT
+    return rest, min(1.0, max(LIGHT, (len(rest) - 2) / 4))
 
 
 def grams(word: str) -> list[str]:
