@@ -1,5 +1,538 @@
-"""Queries of the core operators, by name."""
+"""Queries of the core operators, by name; each takes (spark, folder) and reads whole tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusloom.config import DEFAULT, Config
+from corpusloom.functions import langid, pii, scoring, tokenizer, toxicity
+from corpusloom.functions import text as X
+from corpusloom.operators import checks, dedup, metrics, rules, sharding, stages
+from corpusloom.plans import pipeline
+from corpusloom.session import durable, shared_dir, table
+from corpusloom.sources import readers, sinks
+from corpusloom.streaming import stream
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+V1, V2, V4, V5, DOCS = "mainpipe_ingested_v1", "mainpipe_cleaned_v2", "mainpipe_cleaned_v4", "mainpipe_cleaned_v5", "documents"
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def rounded(df: DataFrame, *cols: str, places: int = 9) -> DataFrame:
+    return df.withColumns({c: F.round(c, places) for c in cols})
+
+
+# ---- sources
+
+
+@query
+def scan_parquet(spark, d):
+    return readers.parquet(spark, f"{d}/{V1}.parquet", "doc_id", "text").select("row_idx", "doc_id", "url", "text")
+
+
+@query
+def scan_jsonl(spark, d):
+    """Written as JSON lines and read back."""
+    path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    sinks.write_jsonl(table(spark, d, DOCS).select("doc_id", "text", "source"), path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType())])
+    return readers.jsonl(spark, path, schema)
+
+
+@query
+def scan_jsonl_typed(spark, d):
+    """Kinds of the raw values: a third of the texts is written as a number or null first."""
+    path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    v = F.pmod("row_idx", F.lit(3))
+    line = F.concat(F.lit('{"url":"u","text":'), F.when(v == 0, F.col("row_idx").cast("string")).when(v == 1, F.lit("null")).otherwise(F.concat(F.lit('"t'), F.col("row_idx"), F.lit('"'))), F.lit("}"))
+    table(spark, d, V1).select(line.alias("value")).write.mode("overwrite").text(path)
+    return readers.jsonl_typed(spark, path).groupBy(F.coalesce("text_kind", F.lit("ABSENT")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def scan_optional(spark, d):
+    """A table that is not there reads as empty."""
+    none = readers.optional_parquet(spark, f"{d}/no_such_table.parquet", readers.RAW)
+    return none.unionByName(readers.optional_parquet(spark, f"{d}/{V1}.parquet", readers.RAW).select("url", "text")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- projections and scalar functions
+
+
+@query
+def doc_id_sha1(spark, d):
+    return stages.ingest(table(spark, d, V1), Config(ingest_ts="2025-01-01T00:00:00")).select("row_idx", "doc_id", "source", "ingest_ts")
+
+
+@query
+def normalize_text(spark, d):
+    return table(spark, d, V1).select("row_idx", X.normalize_text("text").alias("text_norm"))
+
+
+@query
+def word_count(spark, d):
+    return table(spark, d, DOCS).select("doc_id", X.word_count("text").alias("word_count"), F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("char_len"))
+
+
+@query
+def quality_metrics(spark, d):
+    return rounded(checks.add_struct(table(spark, d, V2).select("doc_id", "text_norm"), X.quality_metrics("text_norm")).drop("text_norm"), "alpha_ratio", "repetition_ratio")
+
+
+@query
+def non_latin_ratio(spark, d):
+    return table(spark, d, V2).select("doc_id", F.round(X.non_latin_ratio("text_norm"), 9).alias("non_latin_ratio"))
+
+
+@query
+def pii_hits_simple(spark, d):
+    return table(spark, d, V2).select("doc_id", pii.rough_hits("text_norm").alias("s")).select("doc_id", "s.*")
+
+
+@query
+def toxicity_scores(spark, d):
+    out = table(spark, d, V2).select("doc_id", toxicity.toxicity("text_norm").alias("s")).select("doc_id", "s.*")
+    return rounded(out, *[c for c in out.columns if c != "doc_id"])
+
+
+@query
+def toxicity_lexicon(spark, d):
+    """The heuristic over the lexicon as a table: words of each text that are in it, by category."""
+    lex = {r["category"]: tuple(sorted(r["terms"])) for r in toxicity.lexicon_table(spark).groupBy("category").agg(F.collect_set("term").alias("terms")).collect()}
+    words = [t for ts in lex.values() for t in ts]
+    tok = F.regexp_extract_all(F.lower("text"), F.lit(toxicity.WORD), F.lit(0))
+    return table(spark, d, DOCS).select(F.explode(F.filter(tok, lambda x: x.isin(words))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def lang_detect(spark, d):
+    return table(spark, d, V2).select("doc_id", langid.lexical("text_norm").alias("s")).select("doc_id", F.col("s.lang").alias("lang_pred"), F.round("s.score", 9).alias("lang_score"))
+
+
+@query
+def strip_html(spark, d):
+    return table(spark, d, V1).select("row_idx", X.strip_html("text").alias("text"))
+
+
+@query
+def boilerplate(spark, d):
+    return table(spark, d, V4).select("doc_id", X.remove_boilerplate("text_deep_clean").alias("text"))
+
+
+@query
+def repeat_chars(spark, d):
+    return table(spark, d, V2).select("doc_id", X.collapse_repeats("text_norm").alias("text"))
+
+
+@query
+def structural_cleanup(spark, d):
+    """Over the normalised raw pages, whose texts are one line each."""
+    return table(spark, d, V1).select("row_idx", X.structural_cleanup(X.normalize_text("text")).alias("text"))
+
+
+@query
+def token_stats(spark, d):
+    return rounded(table(spark, d, V4).select("doc_id", X.token_stats("text_deep_clean").alias("s")).select("doc_id", "s.*"), "unique_token_ratio", "stopword_ratio")
+
+
+@query
+def token_spam(spark, d):
+    return table(spark, d, V1).select("row_idx", F.round(X.top_token_share("text"), 9).alias("top_share"), X.is_token_spam("text").alias("is_spam"))
+
+
+@query
+def pii_mask(spark, d):
+    return table(spark, d, V4).select("doc_id", pii.detect_and_mask("text_deep_clean").alias("s")).select("doc_id", "s.*")
+
+
+def _pii_kind(name, pattern):
+    def f(spark, d):
+        return table(spark, d, V4).select("doc_id", pii.hits("text_deep_clean", pattern).alias("hits"), F.regexp_replace("text_deep_clean", pattern, dict((k, m) for k, _, m in pii.MASKS)[name]).alias("masked"))
+
+    f.__name__ = f"pii_{name}"
+    query(f)
+
+
+for _k, _p, _ in pii.MASKS:
+    _pii_kind(_k, _p)
+
+
+@query
+def canon_exact(spark, d):
+    return table(spark, d, V4).select("doc_id", X.canonical("text_pii_masked").alias("canon"))
+
+
+@query
+def canon_near(spark, d):
+    return table(spark, d, V4).select("doc_id", X.near_key("text_pii_masked").alias("near_key"))
+
+
+@query
+def sha256(spark, d):
+    return table(spark, d, V4).select("doc_id", X.sha256(X.canonical("text_pii_masked")).alias("exact_hash"))
+
+
+def _scored(spark, d):
+    """The inputs of the score lie in two tables."""
+    v2 = table(spark, d, V2).select("doc_id", "url", "lang_score", "text_norm")
+    v4 = table(spark, d, V4).select("doc_id", "source", "token_count", "unique_token_ratio", "has_pii", "text_deep_clean", "text_pii_masked")
+    return stages.score(v4.join(v2, "doc_id"))
+
+
+@query
+def quality_score(spark, d):
+    return rounded(_scored(spark, d).select("doc_id", "quality_score", "subset", "mixture_name"), "quality_score")
+
+
+@query
+def subset(spark, d):
+    return table(spark, d, V4).select("doc_id", scoring.subset(F.col("unique_token_ratio")).alias("subset"))
+
+
+@query
+def model_quality(spark, d):
+    return table(spark, d, V4).select("doc_id", scoring.model_quality().alias("model_q"))
+
+
+@query
+def text_fallback(spark, d):
+    return table(spark, d, V4).join(table(spark, d, V2).select("doc_id", "text_norm"), "doc_id").select("doc_id", X.first_filled("text_pii_masked", "text_deep_clean", "text_norm").alias("text"))
+
+
+@query
+def pick_text(spark, d):
+    return table(spark, d, V4).select("doc_id", X.first_filled("text_pii_masked", "text_deep_clean", strip=True).alias("text"))
+
+
+@query
+def tokenise(spark, d):
+    out = stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.byte_level)
+    n, mask = F.size("input_ids"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
+    return out.select("doc_id", "n_tokens", F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"), (n == mask).alias("mask_fits"), "drop_reason")
+
+
+@query
+def tokenise_bpe(spark, d):
+    """The same stage with a vocabulary file, where one is at hand."""
+    return stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.bpe(spark, "/opt/tokenizers/byte_bpe_50k.tiktoken")).select("doc_id", "n_tokens", "drop_reason")
+
+
+# ---- drop rules
+
+
+def _early(spark, d):
+    return stages.prefilter(table(spark, d, V1))
+
+
+@query
+def drop_reason_early(spark, d):
+    return _early(spark, d).select("row_idx", F.coalesce("char_len", F.lit(0)).alias("char_len"), "word_count", "drop_reason")
+
+
+@query
+def drop_reason_lang(spark, d):
+    return stages.language(table(spark, d, V2).select("doc_id", "text_norm")).select("doc_id", "lang_pred", "drop_reason")
+
+
+def _quality(spark, d):
+    pre = rules.kept(_early(spark, d))
+    return stages.quality(pre)
+
+
+@query
+def drop_reason_quality(spark, d):
+    return _quality(spark, d).select("row_idx", "n_words", "drop_reason")
+
+
+@query
+def drop_reason_deep(spark, d):
+    return stages.deep_clean(_early(spark, d).where("text_norm is not null").drop("drop_reason")).select("row_idx", "token_count", "drop_reason")
+
+
+@query
+def drop_reason_pii(spark, d):
+    """With the option to drop texts that hold personal data."""
+    c = Config(drop_pii=True)
+    v4 = table(spark, d, V4)
+    return rules.apply(v4, rules.deep(c)).select("doc_id", "drop_reason")
+
+
+@query
+def drop_reason_tokens(spark, d):
+    return stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.byte_level).select("doc_id", "n_tokens", "drop_reason")
+
+
+@query
+def kept_dropped(spark, d):
+    e = _early(spark, d)
+    return checks.union_all(rules.kept(e).select("row_idx", F.lit("kept").alias("side")), rules.dropped(e).select("row_idx", F.lit("dropped").alias("side")))
+
+
+@query
+def dropped_union(spark, d):
+    """Dropped rows of two stages by name, with nulls for what one lacks."""
+    q = rules.dropped(_quality(spark, d)).select("row_idx", "drop_reason", "n_words")
+    both = checks.union_all(rules.dropped(_early(spark, d)).select("row_idx", "drop_reason", "word_count"), q)
+    return both.fillna(-1, ["word_count", "n_words"])
+
+
+# ---- deduplication
+
+
+def _dedup(spark, d):
+    return dedup.deduplicate(table(spark, d, V4).select("doc_id", "text_pii_masked"))
+
+
+@query
+def dedup_exact(spark, d):
+    return _dedup(spark, d).select("doc_id", "exact_hash", "is_dup_exact")
+
+
+@query
+def dedup_near(spark, d):
+    c = Config(near_dup_min_len=50, near_key_chars=100)
+    return dedup.deduplicate(table(spark, d, V4).select("doc_id", "text_pii_masked"), c).select("doc_id", "is_dup_near", "drop_reason")
+
+
+@query
+def dup_of(spark, d):
+    return _dedup(spark, d).select("doc_id", "dedup_id", "dup_of", "drop_reason")
+
+
+@query
+def dedup_summary(spark, d):
+    return dedup.summary(_dedup(spark, d))
+
+
+# ---- aggregates
+
+
+@query
+def drop_reason_counts(spark, d):
+    return metrics.value_counts(_early(spark, d), "drop_reason", name="n")
+
+
+@query
+def stage_counts(spark, d):
+    return metrics.stage_counts(_early(spark, d))
+
+
+@query
+def quality_summary(spark, d):
+    return metrics.summary(table(spark, d, V2), ["n_chars", "n_words", "alpha_ratio", "repetition_ratio"])
+
+
+@query
+def token_summary(spark, d):
+    return metrics.summary(table(spark, d, V4), ["token_count", "unique_token_ratio", "stopword_ratio"], mean=False)
+
+
+def _describe(t, c):
+    def f(spark, d):
+        return metrics.describe(table(spark, d, t), c)
+
+    f.__name__ = f"describe_{c}"
+    query(f)
+
+
+for _t, _c in ((V2, "lang_score"), (V4, "token_count"), (DOCS, "n_chars"), (V4, "unique_token_ratio")):
+    _describe(_t, _c)
+
+
+@query
+def describe_quality_score(spark, d):
+    return metrics.describe(_scored(spark, d), "quality_score")
+
+
+@query
+def subset_counts(spark, d):
+    return _scored(spark, d).groupBy("subset").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def pii_totals(spark, d):
+    return metrics.pii_totals(table(spark, d, V4))
+
+
+@query
+def pii_aggregate(spark, d):
+    """Totals over two outputs together; rows that are in both count twice."""
+    v4 = table(spark, d, V4)
+    dropped5 = v4.join(table(spark, d, V5).where("drop_reason is not null").select("doc_id"), "doc_id", "left_semi")
+    return metrics.pii_aggregate(v4, dropped5)
+
+
+@query
+def pii_rows(spark, d):
+    """The row-level PII columns of the CSV report, read back."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    sinks.write_csv(checks.project_existing(table(spark, d, V4), ["doc_id", *metrics.PII_COUNTS, "has_pii", "no_such_column"]), path)
+    return spark.read.option("header", True).schema("doc_id string, pii_email_hits bigint, pii_phone_hits bigint, pii_cc_hits bigint, pii_iban_hits bigint, has_pii boolean").csv(path)
+
+
+@query
+def pii_hit_hist(spark, d):
+    return metrics.value_counts(table(spark, d, V4), "pii_phone_hits", top=30, name="n")
+
+
+@query
+def low_info_counts(spark, d):
+    deep = stages.deep_clean(_early(spark, d).where("text_norm is not null").drop("drop_reason"))
+    return metrics.low_info_counts(deep)
+
+
+@query
+def toxicity_report(spark, d):
+    return metrics.share_report(_quality(spark, d), "high_toxicity", "toxic")
+
+
+@query
+def language_report(spark, d):
+    return metrics.share_report(stages.language(table(spark, d, V2).select("doc_id", "text_norm")), "non_english", "non_english")
+
+
+def _hist(t, c, bins):
+    def f(spark, d):
+        return metrics.histogram(table(spark, d, t), c, bins)
+
+    f.__name__ = f"hist_{c}"
+    query(f)
+
+
+for _t, _c, _b in ((V2, "char_len", 80), (V2, "word_count", 80), (V2, "lang_score", 50), (V2, "alpha_ratio", 50), (V2, "repetition_ratio", 50), (V4, "unique_token_ratio", 50), (V4, "stopword_ratio", 50), (V4, "token_count", 80)):
+    _hist(_t, _c, _b)
+
+
+@query
+def structural_counters(spark, d):
+    return metrics.structural_counters(table(spark, d, V2), "text_norm")
+
+
+@query
+def low_unique_examples(spark, d):
+    """The first five texts of many tokens and few different ones."""
+    v = stages.deep_clean(_early(spark, d).where("text_norm is not null").drop("drop_reason"))
+    return v.where("token_count >= 10 and unique_token_ratio < 0.2").orderBy("row_idx").limit(5).select("row_idx", "token_count", F.round("unique_token_ratio", 9).alias("unique_token_ratio"))
+
+
+# ---- shards and records
+
+
+@query
+def shard_assign(spark, d):
+    return sharding.assign_shards(table(spark, d, DOCS).select("doc_id"), "doc_id", 300).select("doc_id", "idx", "shard_id")
+
+
+@query
+def shard_manifest(spark, d):
+    items = table(spark, d, DOCS).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_tokens"))
+    return sharding.manifest(sharding.assign_shards(items, "doc_id", 300))
+
+
+@query
+def shard_files(spark, d):
+    """Shards written as JSON lines and read back: rows and tokens of each."""
+    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    docs = stages.tokenise(table(spark, d, DOCS).select("doc_id", F.col("text").alias("text_pii_masked")), tokenizer.byte_level)
+    sinks.write_shards(rules.kept(docs), path, "doc_id", Config(docs_per_shard=300))
+    return spark.read.schema("input_ids array<int>, attention_mask array<int>, doc_id bigint, shard_id bigint").json(path).groupBy("shard_id").agg(F.count(F.lit(1)).alias("num_docs"), F.sum(F.size("input_ids")).alias("total_tokens"))
+
+
+@query
+def toy_shard(spark, d):
+    return sharding.sample(table(spark, d, DOCS).select("doc_id", "source"), 100, "doc_id")
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    """Records as JSON texts, read again."""
+    return sinks.as_json(records).select(F.from_json("record", records.schema).alias("r")).select("r.*")
+
+
+@query
+def jsonl_clean(spark, d):
+    return _parsed(sinks.clean_records(table(spark, d, V2).withColumnRenamed("text_norm", "text")))
+
+
+@query
+def jsonl_text_fallback(spark, d):
+    return _parsed(sinks.fallback_records(table(spark, d, V4)))
+
+
+@query
+def jsonl_scored(spark, d):
+    return sinks.scored_records(rounded(_scored(spark, d), "quality_score"))
+
+
+@query
+def jsonl_tokenised(spark, d):
+    out = stages.tokenise(_scored(spark, d), tokenizer.byte_level)
+    return _parsed(sinks.tokenised_records(rules.kept(out), attention_mask=False)).select("doc_id", "url", "subset", F.size("input_ids").cast("bigint").alias("n_tokens"))
+
+
+@query
+def export_text(spark, d):
+    return sinks.export_records(rounded(_scored(spark, d), "quality_score"), drop_empty=True)
+
+
+# ---- whole runs
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """All stages over the raw pages: rows by drop reason, ``kept`` for those that reach the end."""
+    out = pipeline.run(table(spark, d, V1).drop("source", "ingest_ts"), DEFAULT)
+    reasons = out["dropped"].select("drop_reason").unionByName(rules.kept(out["tokenised"]).select(F.lit("kept").alias("drop_reason")))
+    return reasons.groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "drop_reason")
+
+
+@query
+def pipeline_reasons(spark, d):
+    return flagship(spark, d)
+
+
+@query
+def pipeline_kept_lines(spark, d):
+    """The option that keeps line feeds, so that boilerplate is removed line by line."""
+    c = Config(keep_lines=True, allowed_langs=tuple(langid.VOTES))
+    out = pipeline.run(table(spark, d, V1).drop("source", "ingest_ts"), c)
+    return rules.kept(out["scored"]).groupBy("lang_pred", "subset").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("quality_score"), 6).alias("mean_score"))
+
+
+@query
+def metrics_report(spark, d):
+    """The summary metrics as one JSON text."""
+    s = _scored(spark, d)
+    one = metrics.describe(s, "quality_score").select(F.struct("*").alias("quality_score"))
+    pii_part = metrics.pii_totals(table(spark, d, V4)).select(F.struct("*").alias("pii"))
+    both = checks.union_all(one, pii_part).agg(F.max("quality_score").alias("quality_score"), F.max("pii").alias("pii"))
+    return both.select(F.to_json(F.struct("quality_score", "pii")).alias("metrics"))
+
+
+@query
+def stream_reason_counts(spark, d):
+    """The early rules over a stream of the raw pages: rows by reason."""
+    src = f"{d}/{V1}.parquet*"
+    schema = table(spark, d, V1).schema
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    s = stages.prefilter(stream.read_parquet(spark, src, schema)).select("row_idx", "drop_reason")
+    stream.drain(s, lambda b, i: b.write.mode("overwrite").parquet(f"{base}/out/batch={i}"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_dedup(spark, d):
+    """Exact copies within a watermark over the crawl time: distinct canonical texts that arrived."""
+    src = f"{d}/{DOCS}.parquet*"
+    schema = table(spark, d, DOCS).schema
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    s = stream.dedup_exact(stream.read_parquet(spark, src, schema).where("crawled_at is not null").withColumn("crawled_at", F.col("crawled_at").cast("timestamp")), "text", "crawled_at", "36500 days").select("doc_id", "exact_hash")
+    stream.drain(s, lambda b, i: b.write.mode("overwrite").parquet(f"{base}/out/batch={i}"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("n"))
