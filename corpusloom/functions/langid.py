@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import col
+from corpusloom.functions.text import col, let
 
 Detector = Callable[[Column], Column]
 
@@ -29,7 +29,14 @@ def _hits(tok: Column, words: list[str]) -> Column:
 def lexical(c) -> Column:
     """Votes of function words: the share of the best language among all votes; ties go to the first of the list."""
     tok = F.regexp_extract_all(F.lower(F.coalesce(col(c), F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
-    votes = [_hits(tok, words.split()) for words in VOTES.values()]
-    total = sum(votes[1:], votes[0])
-    best = F.array_max(F.array(*[F.struct(v.alias("n"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, v) in enumerate(zip(VOTES, votes))]))
-    return F.when(total > 0, F.struct(best["lang"].alias("lang"), (best["n"] / total).alias("score"))).otherwise(F.struct(F.lit("unk").alias("lang"), F.lit(0.0).alias("score")))
+    tok = F.filter(tok, lambda x: x.isin(sorted({w for ws in VOTES.values() for w in ws.split()})))
+
+    def counted(t):
+        return F.array(*[F.struct(_hits(t, ws.split()).alias("n"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, ws) in enumerate(VOTES.items())])
+
+    def best(v):
+        total = F.aggregate(v, F.lit(0), lambda a, x: a + x["n"])
+        top = F.array_max(v)
+        return F.when(total > 0, F.struct(top["lang"].alias("lang"), (top["n"] / total).alias("score"))).otherwise(F.struct(F.lit("unk").alias("lang"), F.lit(0.0).alias("score")))
+
+    return let(let(tok, counted), best)

@@ -31,8 +31,17 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: All white space there is.
+WHITE_CHARS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also where the optimiser would copy it into several branches."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def trim_white(c) -> Column:
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE_CHARS))
 
 
 @F.pandas_udf("string")
@@ -79,8 +88,9 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a.cast("double") / b.cast("double")).otherwise(F.lit(0.0))
 
 
-def letters(c) -> Column:
-    return F.length(F.regexp_replace(col(c), r"[^\p{L}]", ""))
+def letters(c, of: str = r"\p{L}") -> Column:
+    """How many letters; they stand in runs, so taking runs out is cheaper than taking the rest out."""
+    return F.length(col(c)) - F.length(F.regexp_replace(col(c), f"[{of}]+", ""))
 
 
 def quality_metrics(c) -> Column:
@@ -100,7 +110,7 @@ def non_latin_ratio(c) -> Column:
     """Share of letters outside ASCII among all letters; 0 for texts without letters and for null."""
     c = F.coalesce(col(c), F.lit(""))
     n = letters(c)
-    return ratio(n - F.length(F.regexp_replace(c, "[^A-Za-z]", "")), n)
+    return ratio(n - letters(c, "A-Za-z"), n)
 
 
 def strip_html(c) -> Column:
@@ -158,7 +168,14 @@ def top_token_share(c) -> Column:
 
 
 def is_token_spam(c, threshold: float = 0.70, min_tokens: int = 3) -> Column:
-    return F.coalesce((F.size(tokens(c)) >= min_tokens) & (top_token_share(c) > threshold), F.lit(False))
+    """Does one token make up more than the threshold of at least so many tokens?
+
+    That needs few different tokens, which is cheap to know; only such texts have their tokens counted.
+    """
+    tok = tokens(c)
+    n = F.size(tok)
+    few = F.size(F.array_distinct(tok)) <= n * (1 - threshold) + 1
+    return F.when((n >= min_tokens) & few, top_token_share(c) > threshold).otherwise(F.lit(False))
 
 
 def canonical(c) -> Column:

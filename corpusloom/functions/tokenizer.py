@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,14 @@ from corpusloom.functions.text import col
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+@F.pandas_udf("array<int>")
+def _bytes(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8).astype(np.int32))
+
+
 def byte_level(c) -> Column:
-    """The UTF-8 bytes as ids, all inside the JVM."""
-    h = F.hex(F.encode(F.coalesce(col(c), F.lit("")), "UTF-8"))
-    return F.transform(F.regexp_extract_all(h, F.lit(".."), F.lit(0)), lambda x: F.conv(x, 16, 10).cast("int"))
+    """The UTF-8 bytes as ids; their number is the text's length in bytes."""
+    return _bytes(F.coalesce(col(c), F.lit("")))
 
 
 def bpe(spark: SparkSession, vocabulary: str):

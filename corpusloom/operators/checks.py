@@ -26,11 +26,19 @@ def project_existing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def add_struct(df: DataFrame, value: Column) -> DataFrame:
-    """The fields of a struct as columns, in place of those of the same name."""
-    tmp = "__fields"
-    with_it = df.withColumn(tmp, value)
-    fields = with_it.schema[tmp].dataType.names
-    return with_it.select(*[c for c in df.columns if c not in fields], *[F.col(f"{tmp}.{f}").alias(f) for f in fields])
+    """The fields of a struct as columns, in place of those of the same name.
+
+    The struct goes through a generator of one row. The optimiser neither copies expressions nor pushes filters through a
+    generator, so a costly value is computed once however often its columns are used or filtered on; it stays in the JVM.
+    """
+    with_it = df.withColumn("__fields", value)  # a projection, where common parts of the fields are shared
+    fields = with_it.schema["__fields"].dataType.names
+    return with_it.select(*[c for c in df.columns if c not in fields], F.inline(F.array("__fields")))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Columns that are computed once, see ``add_struct``."""
+    return add_struct(df, F.struct(*[c.alias(n) for n, c in columns.items()]))
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

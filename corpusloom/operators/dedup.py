@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import DEFAULT, Config
 from corpusloom.functions import text as T
-from corpusloom.operators.checks import require
+from corpusloom.operators.checks import once, require
 from corpusloom.operators.skew import salted_left_join
 
 
@@ -24,7 +24,7 @@ def _first_of(df: DataFrame, key: str, order: str, name: str, where=None) -> Dat
 def add_keys(df: DataFrame, c: Config = DEFAULT, text: str = "text_pii_masked", id_col: str = "doc_id") -> DataFrame:
     """dedup_id, exact_canon_text, exact_hash and near_key."""
     require(df, text, id_col)
-    out = df.withColumn("dedup_id", F.col(id_col).cast("string")).withColumn("exact_canon_text", T.canonical(text))
+    out = once(df.withColumn("dedup_id", F.col(id_col).cast("string")), exact_canon_text=T.canonical(text))
     return out.withColumns({"exact_hash": F.sha2("exact_canon_text", 256), "near_key": F.substring("exact_canon_text", 1, c.near_key_chars)})
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Config
 from corpusloom.functions import text as T
+from corpusloom.operators.checks import once
 
 Rule = tuple[str, Column]
 #: Texts that stand for a missing one.
@@ -26,7 +27,7 @@ def first_match(rules: Iterable[Rule]) -> Column:
 def apply(df: DataFrame, rules: Iterable[Rule], reason: str = "drop_reason") -> DataFrame:
     """Fills the reason where it is null; adds the column if there is none."""
     new = first_match(list(rules))
-    return df.withColumn(reason, F.coalesce(F.col(reason), new) if reason in df.columns else new)
+    return once(df, **{reason: F.coalesce(F.col(reason), new) if reason in df.columns else new})
 
 
 def kept(df: DataFrame, reason: str = "drop_reason") -> DataFrame:

@@ -11,7 +11,7 @@ from corpusloom.config import DEFAULT, Config
 from corpusloom.functions import langid, pii, scoring, toxicity
 from corpusloom.functions import text as T
 from corpusloom.operators import rules
-from corpusloom.operators.checks import add_struct, or_default, require
+from corpusloom.operators.checks import add_struct, once, or_default, require
 
 
 def ingest(df: DataFrame, c: Config = DEFAULT) -> DataFrame:
@@ -24,15 +24,15 @@ def ingest(df: DataFrame, c: Config = DEFAULT) -> DataFrame:
 def prefilter(df: DataFrame, c: Config = DEFAULT, kind: str | None = None) -> DataFrame:
     """text_norm, char_len, word_count and the early reasons."""
     require(df, "text")
-    out = df.withColumn("text_norm", T.normalize_text("text", c.keep_lines))
+    out = once(df, text_norm=T.normalize_text("text", c.keep_lines))
     out = out.withColumns({"char_len": F.length("text_norm").cast("bigint"), "word_count": T.word_count("text_norm")})
     return rules.apply(out, rules.early(c, kind=kind))
 
 
 def language(df: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.lexical) -> DataFrame:
     """lang_pred, lang_score, lang, non_latin_ratio and the language reasons."""
-    d = detector(F.col("text_norm"))
-    out = df.withColumn("__d", d).withColumns({"lang_pred": F.col("__d.lang"), "lang_score": F.col("__d.score"), "lang": F.col("__d.lang"), "non_latin_ratio": T.non_latin_ratio("text_norm")}).drop("__d")
+    out = once(df, __d=detector(F.col("text_norm")), non_latin_ratio=T.non_latin_ratio("text_norm"))
+    out = out.withColumns({"lang_pred": F.col("__d.lang"), "lang_score": F.col("__d.score"), "lang": F.col("__d.lang")}).drop("__d")
     return rules.apply(out, rules.language(c))
 
 
@@ -62,7 +62,7 @@ def clean_and_filter(df: DataFrame, c: Config = DEFAULT, detector: langid.Detect
 def deep_clean(df: DataFrame, c: Config = DEFAULT) -> DataFrame:
     """text_deep_clean, token statistics, masks and the deep reasons."""
     require(df, "text_norm")
-    out = df.withColumn("text_deep_clean", T.structural_cleanup("text_norm"))
+    out = once(df, text_deep_clean=T.structural_cleanup("text_norm"))
     out = add_struct(out, T.token_stats("text_deep_clean"))
     out = add_struct(out, pii.detect_and_mask("text_deep_clean"))
     return rules.apply(out, rules.deep(c))
@@ -71,13 +71,13 @@ def deep_clean(df: DataFrame, c: Config = DEFAULT) -> DataFrame:
 def score(df: DataFrame, c: Config = DEFAULT) -> DataFrame:
     """quality_score, mixture_name and subset; missing columns count as in the defaults (1.0, 0, 0.0, False)."""
     q = scoring.quality_score(or_default(df, "lang_score", 1.0), or_default(df, "token_count", 0), or_default(df, "unique_token_ratio", 0.0), or_default(df, "has_pii", False), c.min_tokens_pref, c.max_tokens_pref)
-    out = df.withColumns({"quality_score": q, "mixture_name": F.lit(c.mixture_name)})
+    out = once(df, quality_score=q, mixture_name=F.lit(c.mixture_name))
     return out.withColumn("subset", scoring.subset("quality_score", c.high_quality))
 
 
 def tokenise(df: DataFrame, tokenizer, c: Config = DEFAULT, text: str = "text_pii_masked") -> DataFrame:
     """input_ids, attention_mask, n_tokens and the length reasons."""
     require(df, text)
-    out = df.withColumn("input_ids", tokenizer(F.col(text)))
+    out = once(df, input_ids=tokenizer(F.col(text)))
     out = out.withColumns({"attention_mask": F.transform("input_ids", lambda _: F.lit(1)), "n_tokens": F.size("input_ids").cast("bigint")})
     return rules.apply(out, rules.token_length(c))
