@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 WHITE = r"(?U)\s+"
 #: The words that count as stopwords.
@@ -44,7 +45,7 @@ def trim_white(c) -> Column:
     return F.btrim(col(c), F.lit(WHITE_CHARS))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 

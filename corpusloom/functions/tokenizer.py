@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from corpusloom.functions.text import col
 
@@ -15,7 +16,7 @@ from corpusloom.functions.text import col
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(ArrayType(IntegerType()))
 def _bytes(text: pd.Series) -> pd.Series:
     return text.map(lambda t: np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8).astype(np.int32))
 

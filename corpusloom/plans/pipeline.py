@@ -21,8 +21,10 @@ def run(raw: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.
     """Every stage's output: cleaned, deep, deduplicated, scored, tokenised, and all dropped rows.
 
     ``keep`` takes a stage's frame and gives back one that is cheap to read; by default it is written and read again.
-    An empty input gives empty outputs of the same columns.
+    Rows without a ``doc_id`` are ingested first. An empty input gives empty outputs of the same columns.
     """
+    if "doc_id" not in raw.columns:
+        raw = stages.ingest(raw, c)
     pre = keep(stages.prefilter(raw, c))
     filtered = keep(stages.quality(stages.language(rules.kept(pre), c, detector), c))
     cleaned = union_all(filtered, rules.dropped(pre))
