@@ -32,7 +32,7 @@ SMALL = 24
 #: Sets that share one key beyond which the key is extended by a second bucket.
 HOT = 1024
 #: Keys of one block of the exchange.
-BLOCK_KEYS = 1_000_000
+BLOCK_KEYS = 2_500_000
 _CHARS = 1 << 20
 _TOKEN = "[\\p{L}\\p{N}]"
 
