@@ -18,7 +18,30 @@ WITH t AS (
 )
 """
 
+_P8 = """
+WITH w AS (SELECT doc_id, i, substr(text, i::INT, 160) AS g FROM (SELECT doc_id, text, unnest(generate_series(1, length(text) - 159)) AS i FROM documents WHERE length(text) >= 160)),
+s AS (SELECT doc_id, i - 1 AS i FROM w WHERE g IN (SELECT g FROM w GROUP BY g HAVING min(doc_id) <> max(doc_id))),
+m AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 160 THEN 0 ELSE 1 END AS fresh FROM s),
+r AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS no FROM m),
+f AS (SELECT doc_id, min(i)::BIGINT AS start_at, (max(i) + 160)::BIGINT AS end_at FROM r GROUP BY doc_id, no)
+"""
+
+_P1 = """
+WITH t AS (SELECT doc_id, trim(regexp_replace(lower(text_pii_masked), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS x FROM mainpipe_cleaned_v4 WHERE text_pii_masked IS NOT NULL),
+w AS (SELECT doc_id, x, string_split(x, ' ') AS ws FROM t WHERE x <> ''),
+s AS (SELECT DISTINCT doc_id, x, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT doc_id, x, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 3)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id AND a.x <> b.x GROUP BY 1, 2)
+SELECT a AS doc_id_a, b AS doc_id_b FROM o JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE o >= 0.6 * (na.n + nb.n - o)
+"""
+
 ORACLE: dict[str, str] = {
+    "p1_found": _P1,
+    "p8_found": _P8 + "SELECT * FROM f",
+    "p8_coverage": _P8 + """
+SELECT d.doc_id, coalesce(length(any_value(d.text)), 0)::BIGINT AS text_chars, count(f.start_at) AS n_spans, coalesce(sum(end_at - start_at), 0)::BIGINT AS shared_chars,
+CASE WHEN length(any_value(d.text)) > 0 THEN round(coalesce(sum(end_at - start_at), 0)::DOUBLE / length(any_value(d.text)), 6) ELSE 0 END AS shared_ratio
+FROM documents AS d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id""",
     "p3_found": _P3 + """
 SELECT doc_id_a, doc_id_b FROM (SELECT min(doc_id) OVER (PARTITION BY g) AS doc_id_a, doc_id AS doc_id_b FROM k) AS x
 WHERE doc_id_a <> doc_id_b""",
