@@ -12,7 +12,8 @@ differ in at most ``D = floor((1 - t) / (1 + t) * (a + b))`` shingles. The steps
    shingle as a key of its own.
 3. the keys are exchanged in packed blocks, together with a parity sketch of each set (each shingle flips one bit). The
    Hamming distance of two sketches is at most the size of the sets' difference, so pairs beyond D are refused at once.
-4. keys of more than ``HOT`` sets are not paired: their sets come back with keys made of two buckets, which are far rarer.
+4. keys of more than ``HOT`` sets are not paired: their sets come back with keys made of two such buckets, which are far
+   rarer. Only pairs all of whose equal buckets are hot depend on it; they need two of them, and have about fourteen.
 5. pairs that are left are verified by their exact shingle sets.
 """
 
@@ -161,7 +162,7 @@ def _key_blocks(threshold: float, shingle: int, blocks: int):
 
 
 def _second_key_blocks(threshold: float, shingle: int, blocks: int):
-    """Keys of two buckets, one of them hot: for sets that came back."""
+    """Keys of two hot buckets, for sets that came back. A pair that shares a bucket which is not hot has been found."""
     bands = Bands(threshold)
 
     def run(frames):
@@ -175,10 +176,11 @@ def _second_key_blocks(threshold: float, shingle: int, blocks: int):
                 st = runs(which)
                 for lo, hi in zip(st, [*st[1:], len(which)]):
                     k, h = key[lo:hi], np.flatnonzero(is_hot[lo:hi])
-                    if len(h):
-                        pair = np.unique(np.concatenate([mix(k[i]) + mix(np.delete(k, i)) for i in h])) if len(k) > 1 else k
-                        ws.append(np.full(len(pair), which[lo]))
-                        ks.append(mix(pair))
+                    if len(h) > 1:
+                        i, j = np.triu_indices(len(h), 1)
+                        x = mix(k[h])
+                        ws.append(np.full(len(i), which[lo]))
+                        ks.append(mix(x[i] + x[j]))
                 if ws:
                     out += _blocks(rid.to_numpy(), size, band, sets, primary, np.concatenate(ws), np.concatenate(ks), sk, blocks)
             yield pd.DataFrame(out, columns=["block", "band", "body"])
