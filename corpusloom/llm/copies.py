@@ -44,7 +44,7 @@ def _positions(h: np.ndarray, bits: int) -> np.ndarray:
 
 def _filters(bits: int):
     def run(frames):
-        parts = [np.concatenate([f["hs"].to_numpy(), f["hr"].dropna().to_numpy().astype(np.int64)]) for f in frames]
+        parts = [np.concatenate([*f["hashes"], np.zeros(0, np.int64)]).astype(np.int64) for f in frames]
         if not parts:
             return
         h = np.sort(np.concatenate(parts))
@@ -71,28 +71,24 @@ def _merge(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
 
 
 def _maybe_repeated(spark: SparkSession, keys: DataFrame):
-    """A column function (hs, hr) -> boolean from the merged filter; false only for rows that have no copy."""
-    n = keys.select(F.count("hs") + F.count("hr")).first()[0]
+    """A column function of a row's hashes from the merged filter; false only for rows that have no copy."""
+    n = keys.select(F.sum(F.size("hashes"))).first()[0] or 0
     bits = min(MAX_BITS, 1 << max(16, (16 * n - 1).bit_length()))
-    merged = keys.select("hs", "hr").mapInPandas(_filters(bits), "segment int, seen binary, again binary").groupBy("segment").applyInPandas(_merge, "segment int, again binary")
+    merged = keys.select("hashes").mapInPandas(_filters(bits), "segment int, seen binary, again binary").groupBy("segment").applyInPandas(_merge, "segment int, again binary")
     whole = np.zeros(bits // 8, dtype=np.uint8)
     for r in merged.toLocalIterator():  # bounded by MAX_BITS
         whole[r["segment"] * _SEGMENT : r["segment"] * _SEGMENT + len(r["again"])] = np.frombuffer(r["again"], np.uint8)
     sent = spark.sparkContext.broadcast(whole.tobytes())
 
     @F.pandas_udf("boolean")
-    def maybe(hs: pd.Series, hr: pd.Series) -> pd.Series:
+    def maybe(hashes: pd.Series) -> pd.Series:
+        if not len(hashes):
+            return pd.Series([], dtype=bool)
         body = np.frombuffer(sent.value, np.uint8)
-
-        def test(h):
-            p = _positions(h, bits)
-            return ((body[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).all(axis=1)
-
-        out = test(hs.to_numpy().astype(np.int64))
-        has = hr.notna().to_numpy()
-        if has.any():
-            out[has] |= test(hr[has].to_numpy().astype(np.int64))
-        return pd.Series(out)
+        n = np.array([len(x) for x in hashes])  # one for each row, two for a record
+        p = _positions(np.concatenate(list(hashes)).astype(np.int64), bits)
+        hit = ((body[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).all(axis=1)
+        return pd.Series(np.logical_or.reduceat(hit, np.cumsum(n) - n))
 
     return maybe
 
@@ -102,15 +98,17 @@ def copy_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "exact_ca
 
     Groups: ``g, first_id`` (smallest id), ``n_copies``. Two rows are copies if they have the same words in the same order,
     or are records of the same fields in any order. Null, blank and wordless texts are singletons, however many there are.
+    Rows without an id take no part.
     """
     spark = df.sparkSession
     ship(spark)
     text = F.col(text_col)
-    rows = df.select(F.col(id_col).alias("doc_id"), words_of(text).alias("w"), record_key(text).alias("r"))
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), words_of(text).alias("w"), record_key(text).alias("r"))
     keys = durable(rows.select("doc_id", F.when(F.col("w") != "", F.unhex(F.md5("w"))).alias("s"), F.when(F.col("w") != "", F.unhex(F.md5("r"))).alias("r")))
-    worded = keys.where("s is not null").withColumns({"hs": F.xxhash64("s"), "hr": F.when(F.col("r").isNotNull(), F.xxhash64("r"))})
+    # an array, as nulls among numbers would make pandas round them
+    worded = keys.where("s is not null").withColumn("hashes", F.when(F.col("r").isNull(), F.array(F.xxhash64("s"))).otherwise(F.array(F.xxhash64("s"), F.xxhash64("r"))))
     maybe = _maybe_repeated(spark, worded)
-    marked = worded.withColumn("maybe", maybe("hs", "hr"))
+    marked = worded.withColumn("maybe", maybe("hashes"))
     possible = durable(marked.where("maybe").select("doc_id", "s", "r"))
     single = marked.where("not maybe").select("doc_id").union(keys.where("s is null").select("doc_id"))
     return _grouped(possible), possible, single

@@ -243,11 +243,12 @@ def fit(samples: DataFrame) -> Model:
 
 
 def segments(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text_norm") -> DataFrame:
-    """``doc_id, seg_no, lang, confidence, size`` of every segment; texts without a letter, blank and null ones have none."""
+    """``doc_id, seg_no, lang, confidence, size`` of every segment; texts without a letter, blank and null ones
+    and rows without an id have none."""
     spark = df.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(fit(samples))  # bounded by the n-grams of TRAIN_ROWS texts
-    return df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where("text is not null and text <> ''").mapInPandas(_segments(sent), "doc_id string, seg_no bigint, lang string, confidence double, size bigint")
+    return df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null and text <> ''").mapInPandas(_segments(sent), "doc_id string, seg_no bigint, lang string, confidence double, size bigint")
 
 
 def label_of(col):

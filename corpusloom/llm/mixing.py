@@ -49,11 +49,12 @@ def _offset(seed: int, mixture: str, source: str) -> float:
 def mix(items: DataFrame, targets: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``mixture_name, source, doc_id, copy_no, n_tokens``: one row for each copy.
 
-    ``items``: ``doc_id, source, n_tokens``; rows without a source belong to no mixture. ``targets``: ``mixture_name, source,
+    ``items``: ``doc_id, source, n_tokens``; rows without an id or a source belong to no mixture, null sizes count as 0. ``targets``: ``mixture_name, source,
     target_share, max_repeats``, a small table. A source may be named by several mixtures. Records of 0 tokens are sampled
     like others. Absent sources and empty tables give no row.
     """
     spark = items.sparkSession
+    items = items.where("doc_id is not null").select("doc_id", "source", F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).cast("bigint").alias("n_tokens"))
     goals = targets.where("source is not null and target_share is not null").groupBy("mixture_name", "source").agg(F.max("target_share").alias("s"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("r")).limit(100_001).collect()
     if len(goals) > 100_000:
         raise ValueError("at most 100000 targets")

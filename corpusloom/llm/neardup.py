@@ -271,7 +271,7 @@ def _verify(threshold: float, shingle: int):
 
 def classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Members (id, class) and one representative (rid, class, words) for each class of equal word sequences."""
-    w = df.select(F.col(id_col).cast("string").alias("doc_id"), words_of(F.col(text_col)).alias("words")).where("words is not null and words <> ''")
+    w = df.select(F.col(id_col).cast("string").alias("doc_id"), words_of(F.col(text_col)).alias("words")).where("doc_id is not null and words is not null and words <> ''")
     w = w.withColumn("seq", F.unhex(F.md5("words")))
     members = durable(w.select("doc_id", "seq"))
     reps = durable(w.groupBy("seq").agg(F.first("words").alias("words")).withColumn("rid", F.monotonically_increasing_id()))
@@ -314,7 +314,7 @@ def near_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8
     """All pairs ``doc_id_a < doc_id_b`` of rows whose texts are alike enough but are not the same word sequence.
 
     Words are maximal runs of letters and digits of the lower-cased text. Null and wordless texts, and texts shorter than
-    one shingle, have no partner. Rows of one word sequence are one class (that is problem 3) and have the class's partners.
+    one shingle, have no partner; rows without an id take no part. Rows of one word sequence are one class (that is problem 3) and have the class's partners.
     """
     members, reps = classes(df, id_col, text_col)
     pairs = similar_classes(reps, threshold, shingle)

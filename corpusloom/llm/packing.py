@@ -104,9 +104,10 @@ def assign(items: DataFrame, capacities: DataFrame, windows: int = WINDOWS) -> D
 
     ``items``: ``doc_id, n_tokens``. ``capacities``: ``pack_id, capacity_tokens``, a small table. Every item comes out for
     every capacity, whole unless it exceeds the capacity alone. Items of 0 tokens are kept in their block's first
-    container. Empty tables give an empty result; a capacity below 1 is an error.
+    container; a null size counts as 0, items without an id take no part. Empty tables give an empty result; a capacity below 1 is an error.
     """
     ship(items.sparkSession)
+    items = items.where("doc_id is not null").select("doc_id", F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).cast("bigint").alias("n_tokens"))
     caps = capacities.select("pack_id", "capacity_tokens").limit(10_001).collect()
     if len(caps) > 10_000 or any(c[1] is None or c[1] < 1 for c in caps):
         raise ValueError("capacities: at most 10000 rows, each of at least one token")

@@ -20,11 +20,11 @@ def test_copies(spark):
         ("b1", "title: red lamp | sku: AB1 | stock: 5"), ("b2", "stock : 5; title: Red Lamp; SKU: ab1"), ("b3", "title: red lamp sku: ab1 stock: 5"), ("b4", "stock: 6; title: red lamp; sku: ab1"),
         ("c1", "title red lamp sku ab1 stock 5"),  # no record, but the words of b1
         ("d1", "title: x y"), ("d2", "y title: x"),
-        ("e1", None), ("e2", ""), ("e3", "--"), ("f1", "unique text here"),
+        ("e1", None), ("e2", ""), ("e3", "--"), ("f1", "unique text here"), (None, "hello world"),
     ]
     got, single, possible = groups(spark, rows)
     assert got == {("a1", "a2"), ("b1", "b2", "b3", "c1")}
-    assert single | possible == {r[0] for r in rows} and not single & possible
+    assert single | possible == {r[0] for r in rows if r[0]} and not single & possible
     assert {"e1", "e2", "e3"} <= single
 
 
@@ -34,6 +34,15 @@ def test_records_that_share_words_in_other_fields_join(spark):
     assert groups(spark, rows)[0] == {("a", "b", "c", "d")}
 
 
+def test_records_in_batches_of_their_own(spark):
+    # tasks with records alone and tasks with other texts too see the same hashes
+    rec = lambda i, turn: "; ".join([f"title: lamp {i}", f"stock: {i}", "city: x"][::turn])
+    a = spark.createDataFrame([(f"a{i}", rec(i, 1)) for i in range(50)], "doc_id string, exact_canon_text string").coalesce(1)
+    b = spark.createDataFrame([(f"b{i}", rec(i, -1)) for i in range(50)] + [(f"c{i}", f"text {i}") for i in range(50)], "doc_id string, exact_canon_text string").coalesce(1)
+    g, possible, _ = copies.copy_groups(a.union(b))
+    assert g.groupBy("g").count().where("count = 2").count() == 50 and possible.where("doc_id like 'c%'").count() <= 2
+
+
 def test_hot_group_and_no_miss(spark):
     rows = [(f"h{i:04d}", "same text" if i % 3 else f"text {i % 400}") for i in range(1500)]
     got, single, _ = groups(spark, rows)

@@ -50,7 +50,7 @@ def test_pairs_against_brute_force(spark, monkeypatch, seed, t, k, hot):
 
 def test_copies_are_one_class_but_all_have_its_links(spark):
     a = " ".join(f"w{i}" for i in range(50))
-    rows = [(f"c{i}", a.upper() if i % 2 else a) for i in range(6)] + [("z", a + " more"), ("y", "x")]
+    rows = [(f"c{i}", a.upper() if i % 2 else a) for i in range(6)] + [("z", a + " more"), ("y", "x"), (None, a)]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id string, text string, rid int, band int")
     assert {tuple(r) for r in near_pairs(df, "doc_id", "text", 0.8, 5).collect()} == {(f"c{i}", "z") for i in range(6)}
     groups = {r["doc_id"]: (r["group_id"], r["n_links"]) for r in near_groups(df, "doc_id", "text", 0.8, 5).collect()}

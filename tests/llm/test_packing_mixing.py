@@ -22,7 +22,7 @@ def test_differencing(seed):
 def test_assign(spark):
     r = random.Random(1)
     rows = [(i, r.choice([0, 1, 5, 50, 100, 101, 250, 1000])) for i in range(500)]
-    items = spark.createDataFrame([(*x, "s", 1) for x in rows], "doc_id bigint, n_tokens bigint, source string, container_id int").repartition(5)
+    items = spark.createDataFrame([(*x, "s", 1) for x in rows] + [(None, 7, "s", 1)], "doc_id bigint, n_tokens bigint, source string, container_id int").repartition(5)
     caps = spark.createDataFrame([(1, 100), (2, 2000)], "pack_id bigint, capacity_tokens bigint")
     out = packing.assign(items, caps).collect()
     for p, c in ((1, 100), (2, 2000)):
@@ -62,7 +62,7 @@ def test_plan():
 def test_mix(spark, block):
     r = random.Random(2)
     rows = [(i, "big" if i % 3 == 0 else "mid" if i % 5 else None if i % 2 else "small", r.randint(0, 300)) for i in range(3000)]
-    items = spark.createDataFrame([(*x, 9) for x in rows], "doc_id bigint, source string, n_tokens bigint, salt int").repartition(4)
+    items = spark.createDataFrame([(*x, 9) for x in rows] + [(None, "big", 7, 9)], "doc_id bigint, source string, n_tokens bigint, salt int").repartition(4)
     goals = [("m", "big", 0.5, 2), ("m", "mid", 0.3, 1), ("m", "small", 0.2, 3), ("one", "mid", 1.0, 2), ("none", "absent", 1.0, 2)]
     targets = spark.createDataFrame(goals, "mixture_name string, source string, target_share double, max_repeats bigint")
     out = mixing.mix(items, targets, block_rows=block)
