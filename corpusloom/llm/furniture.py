@@ -2,8 +2,10 @@
 
 For each page: markup is stripped from each line and the text left is measured, where a line that only links or repeats the
 site's set phrases has no text of its own. Text lengths are summed over sliding windows of lines. A *surge* is where the
-sum climbs to ``SURGE``, a *dive* where it falls to nothing; the lines between belong to the page. Lines outside are
-furniture if they look like links; a set phrase is furniture wherever it stands, as sites also put lines into the body.
+sum climbs to ``SURGE``, a *dive* where it falls to nothing; from the first line with own text in the surge's window to the
+last one before the dive, lines belong to the page. Lines outside are furniture if they look like links, in a list or not;
+a set phrase is furniture wherever it stands, as sites also put lines into the body, and a single menu word unless long
+prose stands on both sides. Other lines outside (headings, fields of a record, signatures) are kept.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ PHRASES = {
     "sharing": "share this mail print copy link; share this page; teilen e mail drucken; partager courriel imprimer; compartir correo imprimir; condividi e mail stampa; delen e mail afdrukken; follow ~; follow us on ~; # comments log in to reply",
     "tags": "tags ~; tags ~ ~; tags ~ ~ ~; etiquetas ~; etiquetas ~ ~; etiquetas ~ ~ ~; schlagworter ~; schlagworter ~ ~; schlagworter ~ ~ ~; schlagworte ~; schlagworte ~ ~; schlagworte ~ ~ ~; mots cles ~; mots cles ~ ~; mots cles ~ ~ ~; etichette ~; etichette ~ ~; trefwoorden ~; trefwoorden ~ ~; filed under ~; trending now ~; trending now ~ ~",
     "advertising": "advertisement; advertising; sponsored; sponsored content; anzeige; werbung; publicite; publicidad; pubblicita; advertentie",
-    "related": "most read this week; most read; meistgelesen; les plus lus; lo mas leido; i piu letti; meest gelezen; related ~; read more ~; you may also like ~; see also ~; recommended ~; auch interessant ~; mehr dazu ~; weiterlesen ~; a lire aussi ~; lire aussi ~; tambien le puede interesar ~; lea tambien ~; leggi anche ~; lees ook ~",
+    "related": "most read this week; most read; meistgelesen; les plus lus; lo mas leido; i piu letti; meest gelezen; related ~; read more ~; you may also like ~; see also ~; recommended ~; auch interessant ~; mehr dazu ~; lesen sie auch ~; weiterlesen ~; a lire aussi ~; lire aussi ~; tambien le puede interesar ~; lea tambien ~; leggi anche ~; lees ook ~",
     "newsletter": "sign up for our newsletter and never miss a story; subscribe to our newsletter; newsletter abonnieren und nichts verpassen; abonnez vous a notre lettre; suscribase a nuestro boletin; iscriviti alla nostra newsletter; abonneer u op onze nieuwsbrief",
     "pager": "next ~ #; previous ~ #; page # of #; weiter ~ #; zuruck ~ #; suivant ~ #; precedent ~ #; siguiente ~ #; anterior ~ #; loading more results; load more; skip to content; skip to main content; back to top; nach oben; retour en haut; volver arriba; torna su; naar boven; zum inhalt springen; aller au contenu; ir al contenido",
     "footer": "copyright # ~; copyright # # ~; # ~ all rights reserved; # ~ alle rechte vorbehalten; # ~ tous droits reserves; # ~ todos los derechos reservados; # ~ tutti i diritti riservati; # ~ alle rechten voorbehouden; ~ is a trading name of ~ registered in ~; ~ ist eine marke der ~; ~ est une marque de ~; ~ es una marca de ~; ~ e un marchio di ~; ~ is een merk van ~; powered by ~; site by ~ hosted in ~; prices include tax errors excepted ~ accepts no liability for linked pages; "
@@ -53,6 +55,7 @@ _TAG = re.compile(r"<[^>]+>")
 _ZERO = re.compile("[​-‏⁠﻿­]")
 _MARKS = re.compile("[\u0300-\u036f]")
 _WORD = re.compile(r"[^\W_]+")
+_LINKS = re.compile(r"\s*[|·•»›]\s*")
 _BREAD = re.compile(r"[»>/›]")
 _FOLLOW_PROSE = re.compile(r"^follow @\S+ for\b")
 _PROSE_END = re.compile(r"[.!?…]['\"”»)]*$")
@@ -180,6 +183,28 @@ def menu_terms(s: str) -> tuple[int, int]:
     return hits, hits + miss
 
 
+def link_like(s: str) -> bool:
+    """Does a plain line look like links side by side: three short parts or more, none of them a number or a sentence?"""
+    parts = [p for p in _LINKS.split(s) if p]
+    return len(parts) >= 3 and all(len(p.split()) <= 4 and any(c.isalpha() for c in p) and not _PROSE_END.search(p) for p in parts)
+
+
+def page_lines(length: np.ndarray) -> np.ndarray:
+    """Which of a page's filled lines, by their lengths of own text, lie between a surge and a dive."""
+    sums = np.convolve(length, np.ones(WINDOW))[WINDOW // 2 :][: len(length)]
+    inside = np.zeros(len(length), bool)
+    own = np.flatnonzero(length)
+    start = None
+    for k, v in enumerate([*sums, 0]):
+        if start is None and v >= SURGE:
+            start = k
+        elif start is not None and v <= 0:
+            in_run = own[(own >= start - WINDOW // 2) & (own < k)]
+            inside[in_run[0] : in_run[-1] + 1] = True
+            start = None
+    return inside
+
+
 def furniture_lines(text: str | None) -> list[int]:
     """Numbers (from 1) of the lines that are site furniture."""
     if not text:
@@ -203,24 +228,26 @@ def furniture_lines(text: str | None) -> list[int]:
             elif is_phrase(s):
                 strong[i] = True
         length[i] = 0 if strong[i] or weak[i] else len(s)
-    # block sums around each line, surges and dives
     filled = np.flatnonzero([bool(s) for s in lines])
     if not len(filled):
         return []
-    sums = np.convolve(length[filled], np.ones(WINDOW))[WINDOW // 2 :][: len(filled)]
-    inside = np.zeros(len(filled), bool)
-    on = False
-    for k, v in enumerate(sums):
-        on = v >= SURGE or (on and v > 0)
-        inside[k] = on
+    own = length[filled]
+    links = np.array([not strong[i] and not weak[i] and len(lines[i]) <= LONG and link_like(lines[i]) for i in filled])
+    if links.any():
+        # links have no text of their own, but a window full of such lines is a table
+        table_rows = np.convolve(np.convolve(links, np.ones(WINDOW), "valid") == WINDOW, np.ones(WINDOW)) > 0 if len(links) >= WINDOW else np.zeros(len(links), bool)
+        own = np.where(links & ~table_rows, 0, own)
+    inside = page_lines(own)
     out = []
     for k, i in enumerate(filled):
         if strong[i]:
             out.append(int(i) + 1)
         elif weak[i]:
-            alone = inside[k] and 0 < k < len(filled) - 1 and length[filled[k - 1]] >= SURGE and length[filled[k + 1]] >= SURGE
+            alone = 0 < k < len(filled) - 1 and own[k - 1] >= SURGE and own[k + 1] >= SURGE
             if not alone:
                 out.append(int(i) + 1)
+        elif links[k] and not own[k] and not inside[k]:
+            out.append(int(i) + 1)
     return out
 
 

@@ -113,6 +113,16 @@ def test_furniture():
     assert furniture.furniture_lines("word " * 40_000) == []
 
 
+def test_furniture_by_distribution():
+    prose = "She carried the lamp along the river until the mill came in sight, and nobody on the bridge said a word."
+    bar = "Kettles | Lanterns | Wicks | Oils"  # in no list
+    assert furniture.furniture_lines(f"{bar}\nThe old lamp\n{prose}\n{prose}\nBrass · Copper · Tin\nHome | News") == [1, 5, 6]
+    assert furniture.furniture_lines(f"The old lamp\n{bar}\n{prose}") == furniture.furniture_lines(f"{prose}\n{bar}\n{prose}") == []
+    assert furniture.furniture_lines(f"{prose}\n" + "\n".join(f"{x} | brass | Lamptown" for x in ("Lamp", "Wick", "Kettle"))) == []  # a table
+    assert furniture.furniture_lines(f"sku: AB12\ncity: Lamptown\nHome | News\n{prose}\n~ Anselm Ormovic") == [3]
+    assert furniture.furniture_lines(f"{prose}\nLesen Sie auch: Alte Lampe 12\n{prose}") == [2]
+
+
 def test_furniture_frames(spark):
     df = spark.createDataFrame([("a", PAGE, 5), ("b", None, 6), ("c", "", 7)], "doc_id string, text_deep_clean string, line_no int")
     assert sorted(r["line_no"] for r in furniture.furniture(df).collect()) == [1, 2, 3, 7, 11, 13, 14]
