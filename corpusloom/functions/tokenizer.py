@@ -12,6 +12,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from corpusloom.functions.text import col
 
+#: Where the vocabulary lies that runs use unless another tokenizer is given.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how a byte-level BPE vocabulary of 50,000 entries cuts a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 

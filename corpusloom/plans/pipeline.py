@@ -17,10 +17,11 @@ from corpusloom.operators.checks import union_all
 from corpusloom.session import durable
 
 
-def run(raw: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.lexical, encode=tokenizer.byte_level, order: str = "row_idx", keep: Callable[[DataFrame], DataFrame] = durable) -> dict[str, DataFrame]:
+def run(raw: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.lexical, encode: Callable | None = None, order: str = "row_idx", keep: Callable[[DataFrame], DataFrame] = durable) -> dict[str, DataFrame]:
     """Every stage's output: cleaned, deep, deduplicated, scored, tokenised, and all dropped rows.
 
     ``keep`` takes a stage's frame and gives back one that is cheap to read; by default it is written and read again.
+    The limits of ``token_length`` are numbers of BPE tokens, so texts are cut by the public vocabulary unless ``encode`` is given.
     Rows without a ``doc_id`` are ingested first. An empty input gives empty outputs of the same columns.
     """
     if "doc_id" not in raw.columns:
@@ -31,7 +32,7 @@ def run(raw: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.
     deep = keep(stages.deep_clean(rules.kept(filtered), c))
     deduped = keep(dedup.deduplicate(rules.kept(deep), c, order=order))
     scored = stages.score(rules.kept(deduped), c)
-    tokenised = keep(stages.tokenise(scored, encode, c))
+    tokenised = keep(stages.tokenise(scored, encode or tokenizer.bpe(raw.sparkSession, tokenizer.VOCABULARY), c))
     return {
         "cleaned": cleaned, "deep": deep, "deduplicated": deduped, "scored": scored, "tokenised": tokenised,
         "dropped": union_all(rules.dropped(cleaned), rules.dropped(deep), rules.dropped(deduped), rules.dropped(tokenised)),

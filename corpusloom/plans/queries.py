@@ -213,8 +213,13 @@ def pick_text(spark, d):
     return table(spark, d, V4).select("doc_id", X.first_filled("text_pii_masked", "text_deep_clean", strip=True).alias("text"))
 
 
+def _bpe(spark):
+    return tokenizer.bpe(spark, tokenizer.VOCABULARY)
+
+
 @query
 def tokenise(spark, d):
+    """By bytes, as its SQL; the reference's limit counts BPE tokens, as ``tokenise_bpe`` does."""
     out = stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.byte_level)
     n, mask = F.size("input_ids"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
     return out.select("doc_id", "n_tokens", F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"), (n == mask).alias("mask_fits"), "drop_reason")
@@ -223,7 +228,7 @@ def tokenise(spark, d):
 @query
 def tokenise_bpe(spark, d):
     """The same stage with a vocabulary file, where one is at hand."""
-    return stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.bpe(spark, "/opt/tokenizers/byte_bpe_50k.tiktoken")).select("doc_id", "n_tokens", "drop_reason")
+    return stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), _bpe(spark)).select("doc_id", "n_tokens", "drop_reason")
 
 
 # ---- drop rules
@@ -268,6 +273,7 @@ def drop_reason_pii(spark, d):
 
 @query
 def drop_reason_tokens(spark, d):
+    """By bytes, as its SQL; ``tokenise_bpe`` has the reasons by BPE tokens."""
     return stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.byte_level).select("doc_id", "n_tokens", "drop_reason")
 
 
@@ -440,13 +446,22 @@ def shard_manifest(spark, d):
 
 @query
 def shard_files(spark, d):
-    """Shards written as JSON lines and read back: rows and tokens of each."""
+    """Shards written as JSON lines and read back: rows and tokens of each. As its SQL, of the texts of 10 to 2,048 bytes."""
     path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
     docs = stages.tokenise(table(spark, d, DOCS).select("doc_id", F.col("text").alias("text_pii_masked")), tokenizer.byte_level)
     sinks.write_shards(rules.kept(docs), path, "doc_id", Config(docs_per_shard=300))
     return spark.read.schema("input_ids array<int>, attention_mask array<int>, doc_id bigint, shard_id bigint").json(path).groupBy("shard_id").agg(F.count(F.lit(1)).alias("num_docs"), F.sum(F.size("input_ids")).alias("total_tokens"))
 
 
+@query
+def shard_files_bpe(spark, d):
+    """Shards of all documents, whatever their length, in BPE tokens."""
+    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    docs = stages.tokenise(table(spark, d, DOCS).select("doc_id", F.col("text").alias("text_pii_masked")), _bpe(spark))
+    sinks.write_shards(docs, path, "doc_id", Config(docs_per_shard=300), tokenizer_name="byte_bpe_50k")
+    return spark.read.schema("input_ids array<int>, attention_mask array<int>, doc_id bigint, shard_id bigint").json(path).groupBy("shard_id").agg(F.count(F.lit(1)).alias("num_docs"), F.sum(F.size("input_ids")).alias("total_tokens"))
+
+
 @query
 def toy_shard(spark, d):
     return sharding.sample(table(spark, d, DOCS).select("doc_id", "source"), 100, "doc_id")
@@ -474,7 +489,18 @@ def jsonl_scored(spark, d):
 
 @query
 def jsonl_tokenised(spark, d):
-    out = stages.tokenise(_scored(spark, d), tokenizer.byte_level)
+    """By bytes, as its SQL."""
+    return _tokenised(spark, d, tokenizer.byte_level)
+
+
+@query
+def jsonl_tokenised_bpe(spark, d):
+    """The same records by BPE tokens, which the reference's limit counts."""
+    return _tokenised(spark, d, _bpe(spark))
+
+
+def _tokenised(spark, d, encode):
+    out = stages.tokenise(_scored(spark, d), encode)
     return _parsed(sinks.tokenised_records(rules.kept(out), attention_mask=False)).select("doc_id", "url", "subset", F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 

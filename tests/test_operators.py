@@ -99,6 +99,19 @@ def test_pipeline_keeps_every_row(spark):
     assert rules.kept(out["tokenised"]).where("text_pii_masked like '%<EMAIL>%'").count() == 1
 
 
+def test_token_limit_counts_bpe_tokens(spark, tmp_path):
+    long = " ".join(f"{DAY} and it is the best of all {w} that we have" for w in "mill lamp road hill barn gate pond tree wall yard fern moss bell desk coin rope silk wool corn salt".split() * 2)
+    assert len(long) > 2048
+    out = pipeline.run(frame(spark, [long]), Config(min_lang_score=0.5, low_unique=0.0, max_repetition_ratio=1.0))
+    assert [r["n_tokens"] < 2048 for r in rules.kept(out["tokenised"]).collect()] == [True]
+    docs = [(i, t) for i, t in enumerate([long, "short", None, "word " * 4000])]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["shard_files_bpe"](spark, str(tmp_path)).collect()
+    ids = tokenizer.bpe(spark, tokenizer.VOCABULARY)
+    want = spark.createDataFrame(docs, "doc_id bigint, text string").agg(F.sum(F.size(ids("text")))).first()[0]
+    assert [(r["num_docs"], r["total_tokens"]) for r in got] == [(4, want)]
+
+
 def test_sources_and_sinks(spark, tmp_path):
     p = str(tmp_path / "raw.jsonl")
     (tmp_path / "raw.jsonl").write_text('{"url":"u","text":"a"}\n{"url":"u","text":5}\n{"url":"u","text":null}\n{"url":"u"}\nno json\n')
