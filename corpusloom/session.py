@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import hashlib
 import io
 import os
@@ -14,6 +15,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[tuple[str, str]] = set()
+#: Paths of the intermediate tables that exist, oldest first.
+_OPEN: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only where it is unset, as in tests on one machine, is a temporary folder taken (and set).
+    Only where it is unset and all executors run on this machine, as in tests, is a temporary folder taken (and set);
+    on any other master a folder of one machine would lose rows, so that is an error.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {spark.sparkContext.master} share")
         conf = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf.rstrip("/")
@@ -36,13 +42,40 @@ def shared_dir(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives the loss of executors.
 
-    The table is dropped when the driver ends.
+    The table goes with ``release``, at the end of a ``scratch`` block, or when the driver ends, whichever is first.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpusloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._corpusloom_path = path
+    if not _OPEN:
+        atexit.register(release_all, spark)
+    _OPEN.append(path)
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete tables of ``durable`` that no later step reads; other frames are passed over."""
+    for df in frames:
+        if (path := getattr(df, "_corpusloom_path", None)) in _OPEN:
+            _OPEN.remove(path)
+            _remove(df.sparkSession, path)
+
+
+def release_all(spark: SparkSession, since: int = 0) -> None:
+    while len(_OPEN) > since:
+        _remove(spark, _OPEN.pop())
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """A block whose intermediate tables are deleted when it ends: write or count results inside it."""
+    since = len(_OPEN)
+    try:
+        yield
+    finally:
+        release_all(spark, since)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -65,7 +98,8 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.writestr(zipfile.ZipInfo(str(p.relative_to(root.parent))), p.read_text())
     body = data.getvalue()
-    path = os.path.join(tempfile.gettempdir(), f"corpusloom_{hashlib.sha256(body).hexdigest()[:12]}.zip")
+    # on the driver only: Spark serves the file to the executors
+    path = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), f"corpusloom_{hashlib.sha256(body).hexdigest()[:12]}.zip")
     Path(path).write_bytes(body)
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add((app, str(root)))
