@@ -1,25 +1,29 @@
 """Problem 1: near-duplicate records, by a parity-sketch join.
 
-A text is the set of its shingles, each a 64-bit hash. Two sets of sizes b <= a with a Jaccard similarity of at least t
-differ in at most ``D = floor((1 - t) / (1 + t) * (a + b))`` shingles. The steps:
+A text is the set of its shingles. Each shingle's 64-bit hash flips one bit of a *wide* parity sketch of 2^64 bits, kept as
+the list of its odd bits, and one bit of a *narrow* sketch, the wide one folded by XOR to a word for each 48 shingles (a
+power of two, by size band). The Hamming distance of two sketches, wide or narrow, is at most the symmetric difference of
+the sets. Sets of sizes a and b with a Jaccard similarity of at least t differ in at most
+``D = floor((1 - t) / (1 + t) * (a + b))`` shingles. The steps:
 
 1. texts of the same word sequence become one class with one representative (pre-aggregated, so copies cost nothing).
-2. size bands: a band holds the sizes up to twice those of the one before. The shingles of a set are spread by hash over
-   ``m = D + 1`` or more buckets (D of the band's largest size) and each bucket keeps the XOR of its shingles. A differing
-   shingle changes one bucket only, so two similar sets agree in at least one bucket (pigeonhole); as hashing spreads
-   shingles at random they agree in about a third of the *filled* buckets, which alone are used as keys. A set joins the
-   band of its size and, if a larger partner may lie there, the next. Sets of up to ``SMALL`` shingles use every
-   shingle as a key of its own.
-3. the keys are exchanged in packed blocks, together with a parity sketch of each set (each shingle flips one bit). The
-   Hamming distance of two sketches is at most the size of the sets' difference, so pairs beyond D are refused at once.
-4. keys of more than ``HOT`` sets are not paired: their sets come back with keys made of two such buckets, which are far
-   rarer. Only pairs all of whose equal buckets are hot depend on it; they need two of them, and have about fourteen.
+2. all bits of all sketches are counted in a table of fixed size. It only serves as an order, the rarest bits first, which
+   is the same for all sets; whatever the counts, the result is exact.
+3. pigeonhole: at a distance of at most D, all but ``(a - b + D) / 2`` odd bits of the first sketch are odd in the second.
+   Hence the first ``k`` bits of a set in that order, one more than that for the partner that allows most, hold the first
+   bit that the two have in common. These bits are the keys; each travels with the set's size, the bit's rank and the
+   narrow sketch. A pair that meets at its first common bit has ``rank a + rank b`` bits of difference before it, and pairs
+   beyond D by that or by their narrow sketches are refused at once. A block of keys holds sets of neighbouring bands,
+   compared in the narrower of their widths.
+4. keys of more than ``HOT`` sets are cut, by size, into tiles of at most so many, and tiles are paired as tasks of their
+   own; keys that the count knows as larger still are spread over several blocks before. No key is left out.
 5. pairs that are left are verified by their exact shingle sets.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -27,15 +31,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrays import Rolling, codes, mix, pack, runs, unpack
-from corpusloom.session import durable, ship, table
+from corpusloom.llm.trees import fold_segments
+from corpusloom.session import durable, release, ship, table
 
-SMALL = 24
-#: Sets that share one key beyond which the key is extended by a second bucket.
-HOT = 1024
+#: Sets that share one key beyond which they are paired tile by tile.
+HOT = 8192
+#: Sets above the mean load of a count's cell beyond which a key is spread over several blocks (a power of two).
+SPREAD = 1 << 16
 #: Keys of one block of the exchange.
 BLOCK_KEYS = 2_500_000
+#: Cells of the table of counts. One byte each is sent to the executors: 4 MB.
+CELLS = 1 << 22
+_SEGMENT = 1 << 16
 _CHARS = 1 << 20
-_TOKEN = "[\\p{L}\\p{N}]"
+#: Entries that a task gathers before it cuts them into blocks.
+_GATHER = 1_000_000
 
 
 def words_of(col):
@@ -70,58 +80,34 @@ def _shingles(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 class Bands:
-    """Sizes of the bands for one threshold, with the buckets and sketch words of each."""
+    """What a threshold allows: differences, keys of a set, words of its narrow sketch."""
 
     def __init__(self, threshold: float):
         self.t = threshold
-        self.top = np.array([SMALL * 2**i for i in range(24)])
-
-    def of(self, size: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.top, size)
-
-    def reaches_up(self, size: np.ndarray, band: np.ndarray) -> np.ndarray:
-        return size / self.t > self.top[band]
-
-    def differences(self, sizes: np.ndarray) -> np.ndarray:
-        """D for the sum of two sizes."""
-        return np.floor((1 - self.t) / (1 + self.t) * sizes + 1e-9)
-
-    def buckets(self, band: int) -> int:
-        top = int(self.top[band])
-        return max(int(self.differences(np.array(2 * top))) + 1, top if top <= 96 else 0)
-
-    def sketch_words(self, band: int) -> int:
-        return max(2, int(self.top[band]) // 48)
-
-
-def _entries(s, d, size, bands: Bands):
-    """(band, set, bucket, XOR) of every filled bucket, band by band, with primary sets marked, and parity sketches."""
-    own = bands.of(size)
-    for band in range(int(own.max(initial=0)) + 2):
-        primary = (own == band) & (size > 0)
-        also = (own == band - 1) & (size > 0) & bands.reaches_up(size, np.maximum(band - 1, 0)) if band else np.zeros(len(size), dtype=bool)
-        if not primary.any() and not also.any():
-            continue
-        sets = np.flatnonzero(primary | also)
-        at = np.full(len(size), -1)
-        at[sets] = np.arange(len(sets))
-        mine = at[d] >= 0
-        ms, md = s[mine], at[d[mine]]
-        if band:
-            m = bands.buckets(band)
-            b = ((mix(ms ^ np.uint64(band)) >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
-            x = np.zeros(len(sets) * m, dtype=np.uint64)
-            np.bitwise_xor.at(x, md * m + b, ms)
-            at_x = np.flatnonzero(x)
-            which, bucket, x = at_x // m, at_x % m, x[at_x]
-        else:
-            which, bucket, x = md, np.arange(len(ms)) - (np.cumsum(size[sets]) - size[sets])[md], ms
-        words = bands.sketch_words(band)
-        bit = (mix(ms + np.uint64(0x51ED)) % np.uint64(64 * words)).astype(np.int64)
-        sk = np.zeros(len(sets) * words, dtype=np.uint64)
-        np.bitwise_xor.at(sk, md * words + bit // 64, np.uint64(1) << (bit % 64).astype(np.uint64))
-        key = mix(x + (mix(bucket) if band else np.uint64(0)) + np.uint64((band + 1) * 0xA24BAED4963EE407 & 0xFFFFFFFFFFFFFFFF))
-        yield band, sets, primary[sets], which, key, sk.reshape(len(sets), words)
+
+    def differences(self, a, b):
+        """D for two sizes."""
+        return np.floor((1 - self.t) / (1 + self.t) * (np.asarray(a, np.float64) + b) + 1e-9).astype(np.int64)
+
+    def keys(self, a: np.ndarray) -> np.ndarray:
+        """Rarest bits of a set of size a that must hold one of any partner's: its smallest partner allows most."""
+        b = np.ceil(self.t * a - 1e-9).astype(np.int64)
+        return (a - b + self.differences(a, b)) // 2 + 1
+
+    def band(self, a: np.ndarray) -> np.ndarray:
+        """Bands double: up to 48 shingles, 96, 192, ..."""
+        return np.ceil(np.log2(np.maximum(a, 48) / 48) - 1e-12).astype(np.int64)
+
+
+def _sketches(s: np.ndarray, d: np.ndarray, sets: np.ndarray, words: int) -> np.ndarray:
+    """Narrow parity sketches of some sets: bit ``hash mod 64 words``, so that XOR of the halves gives the next narrower."""
+    at = np.full(int(d.max(initial=-1)) + 1, -1)
+    at[sets] = np.arange(len(sets))
+    mine = at[d] >= 0
+    bit = (mix(s[mine] + np.uint64(0x51ED)) % np.uint64(64 * words)).astype(np.int64)
+    out = np.zeros(len(sets) * words, dtype=np.uint64)
+    np.bitwise_xor.at(out, at[d[mine]] * words + bit // 64, np.uint64(1) << (bit % 64).astype(np.uint64))
+    return out.reshape(len(sets), words)
 
 
 def _batches(frames, columns):
@@ -133,125 +119,249 @@ def _batches(frames, columns):
             yield [f[c].iloc[lo:hi] for c in columns]
 
 
-def _blocks(rid, size, band, sets, primary, which, key, sk, blocks):
-    """The packed exchange: for each block the sets that have keys in it, with their sketches, and the keys."""
-    block = (key % np.uint64(blocks)).astype(np.int64)
-    o = np.lexsort((which, block))
-    block, which, key = block[o], which[o], key[o]
-    st = runs(block)
-    for lo, hi in zip(st, [*st[1:], len(block)]):
-        w = which[lo:hi]
-        first = runs(w)
-        u = w[first]
-        counts = np.diff(np.r_[first, len(w)])
-        yield int(block[lo]), band, pack(rid=rid[sets[u]], size=size[sets[u]].astype(np.int32), primary=primary[u], sketch=sk[u].ravel(), n=counts.astype(np.int32), key=((key[lo:hi] // np.uint64(blocks)) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+def _cell(s: np.ndarray) -> np.ndarray:
+    return (s & np.uint64(CELLS - 1)).astype(np.int64)
 
 
-def _key_blocks(threshold: float, shingle: int, blocks: int):
-    bands = Bands(threshold)
+def _counts(shingle: int):
+    """One task's table of counts, in compressed segments."""
 
     def run(frames):
-        for rid, words in _batches(frames, ["rid", "words"]):
-            s, d, size = _shingles(words.tolist(), shingle)
-            out = []
-            for band, sets, primary, which, key, sk in _entries(s, d, size, bands):
-                out += _blocks(rid.to_numpy(), size, band, sets, primary, which, key, sk, blocks)
-            yield pd.DataFrame(out, columns=["block", "band", "body"])
+        n = np.zeros(CELLS, dtype=np.uint32)
+        for (words,) in _batches(frames, ["words"]):
+            cells, c = np.unique(_cell(_shingles(words.tolist(), shingle)[0]), return_counts=True)
+            n[cells] += c.astype(np.uint32)
+        n = n.reshape(-1, _SEGMENT)
+        some = np.flatnonzero(n.any(axis=1))
+        yield pd.DataFrame({"segment": some, "body": [zlib.compress(n[i].tobytes(), 1) for i in some]})
 
     return run
 
 
-def _second_key_blocks(threshold: float, shingle: int, blocks: int):
-    """Keys of two hot buckets, for sets that came back. A pair that shares a bucket which is not hot has been found."""
+def _add(bodies):
+    n = np.zeros(_SEGMENT, dtype=np.uint64)
+    for b in bodies:
+        x = np.frombuffer(zlib.decompress(b), dtype=np.uint32)
+        n += x
+    return zlib.compress(np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
+
+
+def rarity(reps: DataFrame, shingle: int) -> np.ndarray:
+    """For each cell a byte: 0 for no more than twice the mean load, else the binary logarithm of what is above the mean.
+
+    All shingles of all texts are counted. The load is what unrelated shingles in the same cell add, so a cell's byte tells
+    frequent shingles from others however large the collection is.
+    """
+    parts = reps.select("words").mapInPandas(_counts(shingle), "segment int, body binary")
+    n = np.zeros((CELLS // _SEGMENT, _SEGMENT), dtype=np.float64)
+    for r in fold_segments(parts, _add).toLocalIterator():  # CELLS numbers, however large the collection
+        n[r["segment"]] = np.frombuffer(zlib.decompress(r["body"]), dtype=np.uint32)
+    n = n.ravel()
+    return np.log2(np.maximum(n - n.mean(), 1)).astype(np.uint8)
+
+
+def _spread(key: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Over how many blocks a key's sets are spread, by its count: one below ``SPREAD``, then two for each ``SPREAD``.
+
+    A key without its highest bits, as its block knows it, gives the same."""
+    return np.uint64(1) << np.clip(rare[_cell(key)].astype(np.int64) + 2 - SPREAD.bit_length(), 0, 30).astype(np.uint64)
+
+
+def _entries(s, d, size, bands: Bands, rare: np.ndarray):
+    """(set, key, rank) of the keys of all sets."""
+    cls = rare[_cell(s)].astype(np.uint64)
+    o = np.lexsort(((cls << np.uint64(56)) | (s >> np.uint64(8)), d))
+    rank = np.arange(len(s)) - (np.cumsum(size) - size)[d]
+    keep = rank < bands.keys(size)[d]
+    return d[keep], s[o[keep]], rank[keep]
+
+
+def _key_blocks(threshold: float, shingle: int, blocks: int, rare):
+    """The packed exchange: for each block and band the sets that have keys in it, with rank, size and narrow sketch."""
     bands = Bands(threshold)
 
+    def cut(parts):
+        for band in sorted({p[0] for p in parts}):
+            rid, size, key, rank, sk = (np.concatenate(x) for x in list(zip(*[p for p in parts if p[0] == band]))[1:])
+            block = (key % np.uint64(blocks)).astype(np.int64)
+            block += (mix(rid.view(np.uint64)) % _spread(key, rare.value)).astype(np.int64) * blocks
+            o = np.lexsort((rid, block))
+            block, rid, size, key, rank, sk = block[o], rid[o], size[o], key[o], rank[o], sk[o]
+            small = np.uint16 if size.max() < 1 << 16 else np.int32
+            st = runs(block)
+            body = [
+                pack(r=rid[lo:hi], z=size[lo:hi].astype(small), p=rank[lo:hi].astype(small), s=sk[lo:hi].ravel(), k=((key[lo:hi] // np.uint64(blocks)) & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+                for lo, hi in zip(st, [*st[1:], len(block)])
+            ]
+            yield pd.DataFrame({"block": block[st], "band": np.int32(band), "body": body})
+
     def run(frames):
-        for rid, words, hot in _batches(frames, ["rid", "words", "hot"]):
+        parts, n = [], 0
+        for rid, words in _batches(frames, ["rid", "words"]):
             s, d, size = _shingles(words.tolist(), shingle)
-            out = []
-            for band, sets, primary, which, key, sk in _entries(s, d, size, bands):
-                marks = np.unique(np.concatenate([np.array([x["mark"] for x in hs if x["band"] == band], dtype=np.int64) for hs in hot] or [np.zeros(0, np.int64)]))
-                is_hot = np.isin(_mark(key, blocks), marks)
-                ws, ks = [], []
-                st = runs(which)
-                for lo, hi in zip(st, [*st[1:], len(which)]):
-                    k, h = key[lo:hi], np.flatnonzero(is_hot[lo:hi])
-                    if len(h) > 1:
-                        i, j = np.triu_indices(len(h), 1)
-                        x = mix(k[h])
-                        ws.append(np.full(len(i), which[lo]))
-                        ks.append(mix(x[i] + x[j]))
-                if ws:
-                    out += _blocks(rid.to_numpy(), size, band, sets, primary, np.concatenate(ws), np.concatenate(ks), sk, blocks)
-            yield pd.DataFrame(out, columns=["block", "band", "body"])
+            if not len(s):
+                continue
+            rid, (which, key, rank), band = rid.to_numpy(), _entries(s, d, size, bands, rare.value), bands.band(size)
+            for b in np.unique(band[size > 0]):
+                sets = np.flatnonzero((band == b) & (size > 0))
+                sk = _sketches(s, d, sets, 1 << int(b))
+                at = np.zeros(len(size), dtype=np.int64)
+                at[sets] = np.arange(len(sets))
+                m = band[which] == b
+                parts.append((int(b), rid[which[m]], size[which[m]], key[m], rank[m], sk[at[which[m]]]))
+            n += len(key)
+            if n >= _GATHER:
+                yield from cut(parts)
+                parts, n = [], 0
+        yield from cut(parts)
 
     return run
 
 
-def _mark(key: np.ndarray, blocks: int) -> np.ndarray:
-    """A key as the block that held it knows it."""
-    b = np.uint64(blocks)
-    return (((key // b) & np.uint64(0xFFFFFFFF)) * b + key % b).view(np.int64)
+class _Members:
+    """Sets that have keys in one place, by band, with narrow sketches at their own width or folded to a lower band's."""
+
+    def __init__(self, bands: Bands, rows):
+        """``rows``: (band, packed arrays) with r: numbers, z: sizes, p: ranks, s: sketches, k: keys."""
+        self.bands, self.sk, self._folds = bands, {}, {}
+        every: dict[int, list] = {}
+        for band, p in rows:
+            every.setdefault(int(band), []).append(p)
+        got = []
+        for band, parts in sorted(every.items()):
+            self.sk[band] = np.concatenate([p["s"] for p in parts]).reshape(-1, 1 << band)
+            r, z, p, k = (np.concatenate([x[c] for x in parts]) for c in "rzpk")
+            got.append((r, z.astype(np.int64), p.astype(np.int64), k, np.full(len(r), band), np.arange(len(r))))
+        self.rid, self.size, self.rank, self.key, self.band, self.at = (np.concatenate(x) for x in zip(*got))
+
+    def sketches(self, band: int, width: int) -> np.ndarray:
+        """Sketches of a band at the width of another, not higher one."""
+        if width == band:
+            return self.sk[band]
+        if (band, width) not in self._folds:
+            wide = self.sketches(band, width + 1)
+            half = wide.shape[1] // 2
+            self._folds[band, width] = wide[:, :half] ^ wide[:, half:]
+        return self._folds[band, width]
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of entries, met at a common key, may be alike: by size, rank and the distance of their sketches."""
+        b = self.bands
+        a, c, p, q = self.size[i], self.size[j], self.rank[i], self.rank[j]
+        diff = b.differences(a, c)
+        # so many bits of each are common at most, and so many are not; the rest is for the pair's first common key
+        ok = (2 * np.minimum(a - p, c - q) >= a + c - diff) & (p + q <= diff) & (self.rid[i] != self.rid[j])
+        ok = np.flatnonzero(ok)
+        i, j, diff = i[ok], j[ok], diff[ok]
+        swap = self.band[i] > self.band[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        keep = np.zeros(len(i), bool)
+        two = self.band[i] * 64 + self.band[j]
+        for x in np.unique(two):
+            m = np.flatnonzero(two == x)
+            low, high = int(x) // 64, int(x) % 64
+            far = np.bitwise_count(self.sk[low][self.at[i[m]]] ^ self.sketches(high, low)[self.at[j[m]]]).sum(axis=1, dtype=np.int64)
+            keep[m] = far <= diff[m]
+        i, j = self.rid[i[keep]], self.rid[j[keep]]
+        return np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1)
+
+    def take(self, which: np.ndarray, **more) -> list[tuple[int, bytes]]:
+        """(band, packed) of some entries."""
+        out = []
+        for band in np.unique(self.band[which]):
+            w = which[self.band[which] == band]
+            out.append((int(band), pack(r=self.rid[w], z=self.size[w].astype(np.int32), p=self.rank[w].astype(np.int32), s=self.sk[int(band)][self.at[w]].ravel(), k=self.key[w])))
+        return out
+
+
+def _all_pairs(n: int):
+    """Pairs i < j of n places, about a million at a time."""
+    at = 0
+    while at < n - 1:
+        x = np.arange(at, min(at + max(1, 1_000_000 // n), n - 1))
+        reps = n - 1 - x
+        i = np.repeat(x, reps)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(reps) - reps, reps)
+        at = int(x[-1]) + 1
+
+
+def _distinct(found: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _pairs_in_block(threshold: float, blocks: int, hot: int | None):
+def _pairs_in_block(threshold: float, blocks: int, hot: int, rare):
+    """Pairs (a, b) of a block, and tiles (mark, tile, band, sizes, packed sets) of its keys of more than ``hot`` sets."""
     bands = Bands(threshold)
 
     def run(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        words = bands.sketch_words(int(key[1]))
-        parts = [unpack(b) for b in f["body"]]
-        rid = np.concatenate([p["rid"] for p in parts])
-        size = np.concatenate([p["size"] for p in parts]).astype(np.int64)
-        primary = np.concatenate([p["primary"] for p in parts])
-        sk = np.concatenate([p["sketch"].reshape(-1, words) for p in parts])
-        n = np.concatenate([p["n"] for p in parts])
-        k = np.concatenate([p["key"] for p in parts])
-        which = np.repeat(np.arange(len(rid)), n)
-        o = np.argsort(k, kind="stable")
-        k, which = k[o], which[o]
-        st = runs(k)
-        length = np.diff(np.r_[st, len(k)])
-        some = length > 1
+        block = int(key[0])
+        m = _Members(bands, ((b, unpack(x)) for b, x in zip(f["band"], f["body"])))
+        o = np.lexsort((m.size, m.key))
+        st = runs(m.key[o])
+        length = np.diff(np.r_[st, len(o)])
+        mark = m.key[o[st]].astype(np.uint64) * np.uint64(blocks) + np.uint64(block % blocks)
+        tiled = (length > hot) | (_spread(mark, rare.value) > 1)
+        tiles = []
+        for lo, n, k in zip(st[tiled], length[tiled], mark[tiled]):
+            for t, at in enumerate(range(0, int(n), hot)):
+                w = o[lo + at : lo + min(at + hot, int(n))]
+                tiles += [(_signed(int(k)), block * (1 << 20) + t, band, int(m.size[w[0]]), int(m.size[w[-1]]), body) for band, body in m.take(w)]
+        some = ~tiled & (length > 1)
         st, length = st[some], length[some]
-        found, hot_rows = [], []
-        if hot is not None and (big := length > hot).any():
-            for lo, m in zip(st[big], length[big]):
-                mark = int(k[lo]) * blocks + int(key[0])
-                hot_rows.append(pd.DataFrame({"a": rid[which[lo : lo + m]], "b": np.int64(mark - (1 << 64) if mark >= 1 << 63 else mark), "hot": True}))
-            st, length = st[~big], length[~big]
-
-        def keep(i, j):
-            i, j = which[i], which[j]
-            a, b = size[i], size[j]
-            ok = (np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-9) & (primary[i] | primary[j]) & (i != j)
-            i, j = i[ok], j[ok]
-            far = np.bitwise_count(sk[i] ^ sk[j]).sum(axis=1, dtype=np.int64)
-            ok = far <= bands.differences(size[i] + size[j])
-            i, j = rid[i[ok]], rid[j[ok]]
-            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1))
-
-        for m in np.unique(length):  # groups of one length at a time, as arrays; a bounded number of pairs each time
-            these = st[length == m]
-            if m <= 64:
-                x, y = np.triu_indices(int(m), 1)
-                step = max(1, 2_000_000 // len(x))
+        found = []
+        for n in np.unique(length):  # groups of one length at a time, as arrays; a bounded number of pairs each time
+            these = st[length == n]
+            if n <= 64:
+                x, y = np.triu_indices(int(n), 1)
+                step = max(1, 1_000_000 // len(x))
                 for at in range(0, len(these), step):
                     g = these[at : at + step, None]
-                    keep((g + x).ravel(), (g + y).ravel())
+                    found.append(m.near(o[(g + x).ravel()], o[(g + y).ravel()]))
             else:
-                for lo in these:
-                    for at in range(0, int(m) - 1, 512):
-                        x = np.arange(at, min(at + 512, int(m) - 1))
-                        reps = int(m) - 1 - x
-                        i = np.repeat(x, reps)
-                        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(reps) - reps, reps)
-                        keep(lo + i, lo + j)
-        p = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pd.concat([pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "hot": False}), *hot_rows])
+                found += [m.near(o[lo + x], o[lo + y]) for lo in these for x, y in _all_pairs(int(n))]
+        p = _distinct(found)
+        pairs = pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "mark": 0, "tile": -1, "band": 0, "low": 0, "high": 0, "body": b""})
+        return pd.concat([pairs, pd.DataFrame(tiles, columns=[*pairs.columns[2:]]).assign(a=0, b=0)[[*pairs.columns]]]) if tiles else pairs
 
     return run
 
 
+def _pairs_of_tiles(threshold: float):
+    bands = Bands(threshold)
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("band", kind="stable")
+        rows = [unpack(x) for x in f["body"]]
+        m = _Members(bands, zip(f["band"], rows))
+        tile = np.repeat(f["tile"].to_numpy(), [len(r["r"]) for r in rows])
+        one, two = f["one"].iloc[0], f["two"].iloc[0]
+        x, y = np.flatnonzero(tile == one), np.flatnonzero(tile == two)
+        if one == two:
+            found = [m.near(x[i], x[j]) for i, j in _all_pairs(len(x))]
+        else:
+            step = max(1, 1_000_000 // len(y))
+            found = [m.near(np.repeat(x[at : at + step], len(y)), np.tile(y, len(x[at : at + step]))) for at in range(0, len(x), step)]
+        p = _distinct(found)
+        return pd.DataFrame({"a": p[:, 0], "b": p[:, 1]})
+
+    return run
+
+
+def _tile_pairs(tiles: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of sets of hot keys: each pair of a key's tiles whose sizes allow it is one task's."""
+    heads = tiles.select("mark", "tile", "low", "high").distinct()
+    other = heads.select("mark", F.col("tile").alias("two"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    both = heads.withColumnRenamed("tile", "one").join(other, "mark").where("one <= two").where((F.col("low") <= F.ceil(F.col("high2") / threshold)) & (F.col("low2") <= F.ceil(F.col("high") / threshold)))
+    both = both.select("mark", "one", "two")
+    need = both.select("mark", "one", "two", F.col("one").alias("tile")).union(both.where("one <> two").select("mark", "one", "two", F.col("two").alias("tile")))
+    sent = need.join(tiles.select("mark", "tile", "band", "body"), ["mark", "tile"])
+    return sent.groupBy("mark", "one", "two").applyInPandas(_pairs_of_tiles(threshold), "a bigint, b bigint")
+
+
 def _verify(threshold: float, shingle: int):
     def run(frames):
         for f in frames:
@@ -278,38 +388,32 @@ def classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     return members, reps
 
 
-def similar_classes(reps: DataFrame, threshold: float, shingle: int, hot: int = HOT) -> DataFrame:
+def block_count(total_chars: int) -> int:
+    """Blocks of the exchange for so many characters; at least a few, for the sake of the cores."""
+    return max(1, math.ceil(total_chars / 6 * 0.5 / BLOCK_KEYS), min(12, 1 + total_chars // 2_000_000))
+
+
+def similar_classes(reps: DataFrame, threshold: float, shingle: int, hot: int = HOT, blocks: int | None = None) -> DataFrame:
     """Pairs (seq_a, seq_b, similarity) of classes whose shingle sets reach the threshold."""
-    ship(reps.sparkSession)
-    total = reps.select(F.sum(F.length("words"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / 6 * 1.3 / BLOCK_KEYS))
-    blocks = max(blocks, min(12, 1 + total // 2_000_000))
-    keys = reps.select("rid", "words").mapInPandas(_key_blocks(threshold, shingle, blocks), "block int, band int, body binary")
-    out = "a bigint, b bigint, hot boolean"
-    first = durable(keys.groupBy("block", "band").applyInPandas(_with_band(_pairs_in_block(threshold, blocks, hot)), out + ", band int"))
-    pairs = first.where("not hot").select("a", "b")
-    back = first.where("hot")
-    if not back.isEmpty():
-        marks = back.groupBy(F.col("a").alias("rid")).agg(F.collect_list(F.struct("band", F.col("b").alias("mark"))).alias("hot"))
-        again = reps.join(marks, "rid").mapInPandas(_second_key_blocks(threshold, shingle, blocks), "block int, band int, body binary")
-        again = again.groupBy("block", "band").applyInPandas(_with_band(_pairs_in_block(threshold, blocks, None)), out + ", band int")
-        pairs = pairs.unionByName(again.select("a", "b"))
+    spark = reps.sparkSession
+    ship(spark)
+    blocks = blocks or block_count(reps.select(F.sum(F.length("words"))).first()[0] or 0)
+    rare = spark.sparkContext.broadcast(rarity(reps, shingle))  # CELLS bytes
+    keys = reps.select("rid", "words").mapInPandas(_key_blocks(threshold, shingle, blocks, rare), "block bigint, band int, body binary")
+    out = "a bigint, b bigint, mark bigint, tile bigint, band int, low int, high int, body binary"
+    first = durable(keys.groupBy("block").applyInPandas(_pairs_in_block(threshold, blocks, hot, rare), out))
+    pairs = first.where("tile < 0").select("a", "b")
+    tiles = first.where("tile >= 0")
+    if not tiles.isEmpty():
+        pairs = pairs.unionByName(_tile_pairs(tiles, threshold))
     pairs = durable(pairs.distinct())
+    release(first)
     need = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
     texts = durable(reps.join(need, "rid"))
     side = lambda x: texts.select(F.col("rid").alias(x), F.col("words").alias(f"words_{x}"), F.col("seq").alias(f"seq_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b").mapInPandas(_verify(threshold, shingle), "seq_a binary, seq_b binary, similarity double")
 
 
-def _with_band(inner):
-    def run(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        out = inner(key, f)
-        out["band"] = int(key[1])
-        return out
-
-    return run
-
-
 def near_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
     """All pairs ``doc_id_a < doc_id_b`` of rows whose texts are alike enough but are not the same word sequence.
 

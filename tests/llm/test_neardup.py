@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from corpusloom.llm import neardup
@@ -39,11 +40,11 @@ def corpus(seed, n=60, words=70):
 
 
 @pytest.mark.parametrize("seed,t,k", [(1, 0.6, 3), (2, 0.8, 5)])
-@pytest.mark.parametrize("hot", [1024, 2])
+@pytest.mark.parametrize("hot", [8192, 2])
 def test_pairs_against_brute_force(spark, monkeypatch, seed, t, k, hot):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
-    monkeypatch.setattr(neardup.similar_classes, "__defaults__", (hot,))
+    monkeypatch.setattr(neardup.similar_classes, "__defaults__", (hot, None))
     got = [tuple(r) for r in near_pairs(df, "doc_id", "text", t, k).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows, t, k)
 
@@ -68,20 +69,58 @@ def test_components(spark):
     assert got == {**{f"n{i:02d}": "n00" for i in range(21)}, "x": "x", "y": "x", "z": "x"}
 
 
-def test_sketch_distance_is_a_lower_bound():
+def test_sketch_distance_is_a_lower_bound_at_every_width():
     r = np.random.default_rng(3)
-    bands = Bands(0.6)
     for _ in range(30):
         a = set(r.integers(0, 1 << 40, 60).tolist())
         b = set(list(a)[:50]) | set(r.integers(0, 1 << 40, 15).tolist())
         s = np.array(sorted(a) + sorted(b), dtype=np.uint64)
         d = np.array([0] * len(a) + [1] * len(b))
-        for band, sets, _, _, _, sk in neardup._entries(s, d, np.array([len(a), len(b)]), bands):
-            if len(sets) == 2:
-                assert np.bitwise_count(sk[0] ^ sk[1]).sum() <= len(a ^ b)
-
-
-def test_buckets_outnumber_differences():
-    bands = Bands(0.6)
-    for band in range(1, 12):
-        assert bands.buckets(band) > bands.differences(np.array(2 * int(bands.top[band])))
+        wide = neardup._sketches(s, d, np.array([0, 1]), 4)
+        for words in (4, 2, 1):
+            sk = neardup._sketches(s, d, np.array([0, 1]), words)
+            assert (sk == wide).all() and np.bitwise_count(sk[0] ^ sk[1]).sum() <= len(a ^ b)
+            wide = wide[:, : words // 2] ^ wide[:, words // 2 :]
+
+
+@pytest.mark.parametrize("t", [0.3, 0.6, 0.8])
+def test_keys_of_alike_sets_meet(t):
+    bands, r = Bands(t), np.random.default_rng(5)
+    for _ in range(3000):
+        n, extra = int(r.integers(1, 40)), r.integers(0, 1000, 60)
+        a = set(r.integers(0, 1000, n).tolist())
+        b = set(r.permutation(list(a))[: int(r.integers(0, len(a) + 1))].tolist()) | set(extra[: int(r.integers(0, n))].tolist())
+        if b and len(a & b) >= t * len(a | b):
+            k = lambda s: set(sorted(s)[: bands.keys(np.array(len(s)))])
+            assert k(a) & k(b)
+
+
+def ha(n):
+    return [(f"h{i:04d}", " ".join(["ha"] * i)) for i in range(3, n + 3)]
+
+
+@pytest.mark.parametrize("n,hot", [(1100, 1024), (1100, 8192), (300, 100)])
+def test_sets_of_one_hot_key(spark, n, hot):
+    """Texts of one repeated word have one shingle: all pairs are alike, however many there are."""
+    _, reps = neardup.classes(spark.createDataFrame(ha(n), "doc_id string, text string").repartition(4), "doc_id", "text")
+    got = neardup.similar_classes(reps, 0.6, 3, hot=hot)
+    assert got.count() == n * (n - 1) // 2 and got.distinct().count() == n * (n - 1) // 2
+
+
+def test_keys_spread_over_blocks(spark, monkeypatch):
+    """A table of counts that calls every key frequent spreads all of them over blocks; the pairs are the same."""
+    rows = corpus(4)
+    monkeypatch.setattr(neardup, "rarity", lambda reps, shingle: np.full(neardup.CELLS, 18, dtype=np.uint8))
+    got = near_pairs(spark.createDataFrame(rows, "doc_id string, text string"), "doc_id", "text", 0.6, 3)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 0.6, 3)
+
+
+def test_exchange_of_many_blocks():
+    """At the block count of 30 GB the packed keys stay below four times the text, and hardly grow with the count."""
+    r = np.random.default_rng(8)
+    vocab = ["".join(chr(97 + c) for c in r.integers(0, 26, n)) for n in r.integers(3, 9, 5000)]
+    texts = [" ".join(vocab[i] for i in r.integers(0, 5000, n)) for n in r.integers(40, 250, 12_000)]
+    frame = pd.DataFrame({"rid": np.arange(len(texts)), "words": texts})
+    rare = type("Sent", (), {"value": np.zeros(neardup.CELLS, dtype=np.uint8)})
+    few, many = (sum(f["body"].str.len().sum() for f in neardup._key_blocks(0.6, 3, blocks, rare)([frame])) for blocks in (12, 2600))
+    assert many < 4 * sum(map(len, texts)) and many < 1.2 * few
