@@ -1,275 +1,335 @@
 """Problem 4: page boilerplate, by the distribution of text over blocks of lines.
 
-For each page: markup is stripped from each line and the text left is measured, where a line that only links or repeats the
-site's set phrases has no text of its own. Text lengths are summed over sliding windows of lines. A *surge* is where the
-sum climbs to ``SURGE``, a *dive* where it falls to nothing; from the first line with own text in the surge's window to the
-last one before the dive, lines belong to the page. Lines outside are furniture if they look like links, in a list or not;
-a set phrase is furniture wherever it stands, as sites also put lines into the body, and a single menu word unless long
-prose stands on both sides. Other lines outside (headings, fields of a record, signatures) are kept.
+No list of words or phrases is built in; what furniture looks like is learned from where it stands on all pages at hand.
+
+1. *Raw distribution.* Markup is stripped from the lines of each page and the lengths of what is left are summed over
+   sliding windows of lines. The first *surge* of the sums and the last *dive* bound the page's core. The line before the
+   surge may be a title and is no evidence.
+2. *Evidence.* Over all pages, the words and word pairs outside the cores are counted, and those inside. Their
+   logarithmic odds tell text that stands outside cores (menus, notices, footers) from text that stands in them. The counts
+   are kept in a table of fixed size, by hash.
+3. *Own text.* A line whose odds are above ``OUTSIDE`` has no text of its own. The lengths of own text are summed over
+   the windows again. Runs of windows with text in which the sum reaches ``SURGE`` run from a surge to a dive; from their
+   first to their last line with own text, lines belong to the page. Lines without own text open a gap in them if their
+   odds are above ``INSIDE``; outside they are furniture, as are links side by side and blocks of bare link lines, whose
+   words need not occur anywhere else.
+
+A single page without a model is judged by the distribution alone.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.arrays import Rolling, codes, mix, runs
+from corpusloom.llm.trees import fold_segments
 from corpusloom.session import ship, table
 
 WINDOW = 3
-SURGE = 60
-#: Lines above so many characters are prose.
-LONG = 240
-
-#: Entries of site menus (accents left out), by language.
-MENU = {
-    "en": "home; about; about us; contact; contact us; news; events; search; sitemap; store finder; partners; services; prices; support; my account; gallery; downloads; jobs; newsletter; opening hours; press; blog; archive; products; register; faq; cart; help; team; login; log in; sign in; sport; shop; careers; culture; weather; imprint; terms; privacy; terms of service; privacy policy; accessibility; report a problem; cookies; cookie settings; rss",
-    "de": "startseite; aktuelles; termine; presse; galerie; laden; preise; mein konto; suche; hilfe; uber uns; datenschutz; warenkorb; produkte; karriere; anmelden; impressum; kontakt; agb; newsletter",
-    "fr": "accueil; a propos; actualites; presse; galerie; agenda; panier; aide; produits; plan du site; recherche; mon compte; emplois; connexion; boutique; contact; mentions legales; confidentialite; services",
-    "es": "inicio; nosotros; noticias; prensa; galeria; agenda; carrito; ayuda; empleo; productos; contacto; entrar; mapa del sitio; mapa web; tienda; precios; mi cuenta; buscar; boletin; aviso legal; privacidad; servicios",
-    "it": "chi siamo; notizie; eventi; stampa; galleria; carrello; aiuto; prodotti; mappa del sito; cerca; il mio account; lavora con noi; accedi; negozio; contatti; note legali; servizi; prezzi",
-    "nl": "over ons; nieuws; evenementen; pers; galerij; winkelwagen; hulp; producten; zoeken; mijn account; vacatures; inloggen; winkel; voorwaarden; diensten; prijzen; agenda",
-}
-#: Set phrases of site furniture (accents and punctuation left out), by kind. ~ stands for names, # for numbers.
-PHRASES = {
-    "consent": "we use cookies to improve your visit to ~ accept all cookies or change your settings; your consent matters choose which optional tags ~ may load; cookie notice our # partners measure how pages are used ok; this site stores small files on your device by browsing on you agree; by clicking agree you allow ~ and its partners to process data; ~ values your privacy manage preferences reject accept; "
-    "~ verwendet cookies um den besuch zu verbessern alle akzeptieren ablehnen; mit der weiteren nutzung stimmen sie der speicherung zu; einstellungen zum datenschutz auf ~ verwalten; "
-    "~ utilise des cookies pour ameliorer votre visite tout accepter refuser; en poursuivant vous acceptez le depot de fichiers sur votre appareil; gerer mes preferences de confidentialite sur ~; "
-    "~ utiliza cookies para mejorar su visita aceptar todo rechazar; si continua navegando acepta el uso de archivos en su dispositivo; gestionar preferencias de privacidad en ~; "
-    "~ utilizza i cookie per migliorare la visita accetta tutto rifiuta; ~ gebruikt cookies om uw bezoek te verbeteren alles accepteren weigeren",
-    "sharing": "share this mail print copy link; share this page; teilen e mail drucken; partager courriel imprimer; compartir correo imprimir; condividi e mail stampa; delen e mail afdrukken; follow ~; follow us on ~; # comments log in to reply",
-    "tags": "tags ~; tags ~ ~; tags ~ ~ ~; etiquetas ~; etiquetas ~ ~; etiquetas ~ ~ ~; schlagworter ~; schlagworter ~ ~; schlagworter ~ ~ ~; schlagworte ~; schlagworte ~ ~; schlagworte ~ ~ ~; mots cles ~; mots cles ~ ~; mots cles ~ ~ ~; etichette ~; etichette ~ ~; trefwoorden ~; trefwoorden ~ ~; filed under ~; trending now ~; trending now ~ ~",
-    "advertising": "advertisement; advertising; sponsored; sponsored content; anzeige; werbung; publicite; publicidad; pubblicita; advertentie",
-    "related": "most read this week; most read; meistgelesen; les plus lus; lo mas leido; i piu letti; meest gelezen; related ~; read more ~; you may also like ~; see also ~; recommended ~; auch interessant ~; mehr dazu ~; lesen sie auch ~; weiterlesen ~; a lire aussi ~; lire aussi ~; tambien le puede interesar ~; lea tambien ~; leggi anche ~; lees ook ~",
-    "newsletter": "sign up for our newsletter and never miss a story; subscribe to our newsletter; newsletter abonnieren und nichts verpassen; abonnez vous a notre lettre; suscribase a nuestro boletin; iscriviti alla nostra newsletter; abonneer u op onze nieuwsbrief",
-    "pager": "next ~ #; previous ~ #; page # of #; weiter ~ #; zuruck ~ #; suivant ~ #; precedent ~ #; siguiente ~ #; anterior ~ #; loading more results; load more; skip to content; skip to main content; back to top; nach oben; retour en haut; volver arriba; torna su; naar boven; zum inhalt springen; aller au contenu; ir al contenido",
-    "footer": "copyright # ~; copyright # # ~; # ~ all rights reserved; # ~ alle rechte vorbehalten; # ~ tous droits reserves; # ~ todos los derechos reservados; # ~ tutti i diritti riservati; # ~ alle rechten voorbehouden; ~ is a trading name of ~ registered in ~; ~ ist eine marke der ~; ~ est une marque de ~; ~ es una marca de ~; ~ e un marchio di ~; ~ is een merk van ~; powered by ~; site by ~ hosted in ~; prices include tax errors excepted ~ accepts no liability for linked pages; "
-    "terms of service privacy policy imprint; contact us accessibility report a problem; impressum datenschutz agb; mentions legales confidentialite plan du site; aviso legal privacidad mapa web",
-}
-_SEP = re.compile(r"\s*[|/·•>»›:]\s*|\s+[-–]\s+")
-_TAG = re.compile(r"<[^>]+>")
+#: Characters in a window of raw lines that make a surge, and of own text.
+RAW_SURGE, SURGE = 150, 60
+#: Logarithmic odds from which a line outside, or between, surge and dive has no text of its own; twice that for items.
+OUTSIDE, INSIDE = 0.85, 0.95
+#: Occurrences of a feature below which it says nothing, and those that are added inside and, in proportion, outside.
+SEEN, PRIOR = 5, 20
+#: Cells of the tables of counts; a byte of each is sent to the executors: 2 MB.
+CELLS = 1 << 21
+_SEGMENT = 1 << 16
+_CHARS = 1 << 20
+_UNKNOWN, _STEP = -128, 16
+
+_TAG = re.compile(r"<[^>\n]+>")
 _ZERO = re.compile("[​-‏⁠﻿­]")
-_MARKS = re.compile("[\u0300-\u036f]")
-_WORD = re.compile(r"[^\W_]+")
+_MARKS = re.compile("[̀-ͯ]")
 _LINKS = re.compile(r"\s*[|·•»›]\s*")
-_BREAD = re.compile(r"[»>/›]")
-_FOLLOW_PROSE = re.compile(r"^follow @\S+ for\b")
 _PROSE_END = re.compile(r"[.!?…]['\"”»)]*$")
-_MENU = frozenset(x.strip() for v in MENU.values() for x in v.split(";"))
-_MENU_WORDS = frozenset(w for x in _MENU for w in x.split())
+_FIELD = re.compile(r"^[^\W\d_]+\s*:\s*\S")
+_ITEM = re.compile(r"^\W*(?:[-*•–—~]|\d+[.)])|[@:]|\d\d")
+#: Kinds of code points: blank, line feed, letter, digit, sign.
+_BULLETS, _CLOSERS, _STOPS = ([ord(x) for x in y] for y in ("-*•–—~", ").", ".!?…"))
+_BLANK, _FEED, _LETTER, _DIGIT, _SIGN = range(5)
+
+
+def _kinds() -> np.ndarray:
+    out = np.full(1 << 16, _SIGN, dtype=np.uint8)
+    for i in range(1 << 16):
+        c = chr(i)
+        if c.isdigit():
+            out[i] = _DIGIT
+        elif c.isalnum():
+            out[i] = _LETTER
+        elif c.isspace() or unicodedata.category(c)[0] == "C":
+            out[i] = _BLANK
+    out[10] = _FEED
+    return out
+
+
+_KIND: list[np.ndarray] = []
 
 
-def plain(line: str) -> str:
-    """A line without markup, invisible characters, accents and case."""
-    s = _ZERO.sub("", _TAG.sub(" ", line))
+def plain(text: str) -> str:
+    """A text without markup, invisible characters, accents and case; its lines stay."""
+    s = _TAG.sub(" ", text)
     if not s.isascii():
-        s = _MARKS.sub("", unicodedata.normalize("NFKD", s))
-    return s.lower().strip()
-
-
-def _template(t: str) -> tuple[list[str], int]:
-    words = t.split()
-    return words, sum(w not in "~#" for w in words)
-
-
-_TEMPLATES = [_template(x.strip()) for v in PHRASES.values() for x in v.split(";")]
-#: Templates by each of their fixed words, the rarest words first to be of use.
-_BY_WORD: dict[str, list[int]] = {}
-for _i, (_ws, _) in enumerate(_TEMPLATES):
-    for _w in set(_ws) - {"~", "#"}:
-        _BY_WORD.setdefault(_w, []).append(_i)
-
-
-def _same(a: str, b: str) -> bool:
-    """Equal, or one slip apart: two letters swapped or one dropped, doubled or changed."""
-    if a == b:
-        return True
-    n, m = len(a), len(b)
-    if min(n, m) < 4 or abs(n - m) > 1:
-        return False
-    i = 0
-    while i < min(n, m) and a[i] == b[i]:
-        i += 1
-    if n == m:
-        return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
-    return a[i + (n > m) :] == b[i + (m > n) :]
-
-
-def _fits(words: list[str], template: list[str], fixed: int) -> bool:
-    """The template's words stand in the line in order, with names of up to four words where it has ~.
-
-    Of six and more fixed words one in six may be missing, and as many odd words may have slipped in; of fewer, none is
-    missing and one odd word may have slipped into templates of three and more.
-    """
-    spare = max(fixed // 6, 1 if fixed >= 3 else 0)
-    if len(words) > len(template) + 4 * template.count("~") + spare + 2:
-        return False
-    states = {(0, 0, 0)}  # place in the template, words taken by the open name, slips
-    for w in words:
-        new = set()
-        for t, taken, slips in states:
-            for skip in range(0, 2 if fixed >= 6 else 1):
-                u = t + skip
-                if u < len(template):
-                    x = template[u]
-                    s = slips + skip
-                    if s <= spare and (x == "~" or (x == "#" and w.isdigit()) or (x not in "~#" and _same(w, x))):
-                        new.add((u + 1, 1 if x == "~" else 0, s))
-            if t and template[t - 1] == "~" and taken and taken < 4:
-                new.add((t, taken + 1, slips))
-            if slips < spare:
-                new.add((t, taken, slips + 1))
-        states = new
-        if not states:
-            return False
-    return any((len(template) - t if fixed >= 6 else 99 * (t < len(template))) + slips <= spare for t, _, slips in states)
-
-
-def is_phrase(s: str) -> bool:
-    """Is a plain line one of the set phrases?"""
-    if len(s) > 160 or _FOLLOW_PROSE.match(s):
-        return False
-    words = _WORD.findall(s)
-    if not words:
-        return False
-    count: dict[int, int] = {}
-    for w in words:
-        for i in _BY_WORD.get(w, ()):
-            count[i] = count.get(i, 0) + 1
-    for i, n in count.items():
-        ws, fixed = _TEMPLATES[i]
-        if n * 3 >= fixed * 2 and _fits(words, ws, fixed):
-            if fixed <= 2 and "~" in ws and not _short_phrase_ok(s, ws):
-                continue
-            return True
-    return False
-
-
-def _short_phrase_ok(s: str, template: list[str]) -> bool:
-    """Templates of one or two words and a name need their sign, as prose may start with the same words."""
-    if template[0] in ("next", "previous", "weiter", "zuruck", "suivant", "precedent", "siguiente", "anterior"):
-        return ":" in s or "»" in s or "«" in s
-    if template[0] == "follow":
-        return not _PROSE_END.search(s) or len(s) < 30
-    if template[0] in ("copyright", "powered"):
-        return True
-    return ":" in s or not template[0].isalpha()
-
-
-def menu_terms(s: str) -> tuple[int, int]:
-    """(menu entries, all entries) of a plain line; entries are parted by signs, or by blanks alone."""
-    parts = [p.strip(" .!?=*'\"“”-~\t") for p in _SEP.split(s)]
-    parts = [p for p in parts if p]
-    known = sum(p in _MENU for p in parts)
-    if len(parts) > 1 or known:
-        if len(parts) > 2:
-            known += sum(p not in _MENU and " ".join(p.split()[:-1]) in _MENU for p in parts)
-        return known, len(parts)
-    words = _WORD.findall(s)
-    if not 2 <= len(words) <= 24 or not set(words) & _MENU_WORDS:
-        return 0, len(parts)
-    at = hits = miss = 0
-    while at < len(words):
-        for n in (3, 2, 1):
-            if " ".join(words[at : at + n]) in _MENU:
-                hits, at = hits + 1, at + n
-                break
-        else:
-            miss, at = miss + 1, at + 1
-    return hits, hits + miss
+        s = _MARKS.sub("", unicodedata.normalize("NFKD", _ZERO.sub("", s)))
+    return s.lower()
+
+
+@dataclass
+class Lines:
+    """The filled lines of some pages."""
+
+    page: np.ndarray  # number of the page
+    no: np.ndarray  # number of the line on its page, from 1
+    length: np.ndarray  # characters without outer blanks
+    item: np.ndarray  # does it begin with a bullet or a number of a list?
+    sentences: np.ndarray  # how many it has
+    at: np.ndarray  # for each feature, its line
+    cell: np.ndarray  # for each feature, its cell
+
+
+def lines_of(pages: list[str]) -> Lines:
+    """Filled lines of plain pages, with the cells of their words and word pairs. Numbers count as one word."""
+    if not _KIND:
+        _KIND.append(_kinds())
+    c = codes("\n".join(pages) + "\n")
+    kind = np.where(c < 1 << 16, _KIND[0][np.minimum(c, (1 << 16) - 1)], _SIGN)
+    # lines: first and last character that is no blank
+    line = np.cumsum(kind == _FEED) - (kind == _FEED)
+    ink = np.flatnonzero(kind > _FEED)
+    first = runs(line[ink])
+    last = np.r_[first[1:], len(ink)] - 1
+    filled = line[ink[first]] if len(ink) else np.zeros(0, np.int64)
+    length = ink[last] - ink[first] + 1 if len(ink) else np.zeros(0, np.int64)
+    counts = np.array([p.count("\n") + 1 for p in pages])
+    page = np.searchsorted(np.cumsum(counts), filled, side="right")
+    no = filled - (np.cumsum(counts) - counts)[page] + 1
+    # words: runs of letters and digits, and single signs; pairs and whole runs of words stay within a sentence
+    word = (kind == _LETTER) | (kind == _DIGIT)
+    start = np.flatnonzero((word & ~np.r_[False, word[:-1]]) | (kind == _SIGN))
+    end = np.flatnonzero((word & ~np.r_[word[1:], False]) | (kind == _SIGN)) + 1
+    letters = np.r_[0, np.cumsum(kind != _DIGIT)]
+    number = letters[end] == letters[start]
+    h = Rolling(c).of(start, end)
+    h[number] = np.uint64(0x9E3779B97F4A7C15)
+    at = np.searchsorted(filled, line[start])
+    lines = runs(at)
+    item = np.zeros(len(filled), bool)
+    if len(h):
+        sign = np.isin(c[start[lines]], _BULLETS)
+        sign |= number[lines] & np.isin(c[np.minimum(end[lines], len(c) - 1)], _CLOSERS)
+        item[at[lines]] = sign
+    closes = np.isin(c, _STOPS) & np.r_[kind[1:] <= _FEED, True]
+    sentence = np.cumsum(closes) - closes + line
+    lo = runs(sentence[start])
+    place = np.arange(len(h)) - np.repeat(lo, np.diff(np.r_[lo, len(h)]))
+    edge, k = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA24BAED4963EE407)
+    pairs = mix(np.where(place == 0, edge, np.r_[edge, h[:-1]]) * k + h)
+    ends = np.r_[lo[1:], len(h)] - 1 if len(h) else lo
+    closing = mix(h[ends] * k + edge)
+    cell = (np.concatenate([mix(h), pairs, closing]) % np.uint64(CELLS)).astype(np.int64)
+    return Lines(page, no, length, item, np.bincount(at[ends], minlength=len(filled)), np.concatenate([at, at, at[ends]]), cell)
+
+
+def window_sums(length: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Sums of lengths over windows of ``WINDOW`` lines of one page around each line."""
+    out = length.astype(np.float64).copy()
+    for d in range(1, WINDOW // 2 + 1):
+        same = page[d:] == page[:-d]
+        out[d:] += np.where(same, length[:-d], 0)
+        out[:-d] += np.where(same, length[d:], 0)
+    return out
+
+
+def cores(x: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Of each line: 1 in its page's core, -1 outside, 0 where that is no evidence: next to the surge and for items of lists."""
+    zone = np.zeros(len(x.page), dtype=np.int8)
+    own = (window_sums(x.length, x.page) >= RAW_SURGE) & (x.length >= RAW_SURGE * 3 // 4)
+    k = np.flatnonzero(own)
+    if not len(k):
+        return zone
+    pages, first = np.unique(x.page[k], return_index=True)
+    lo, hi = k[first], k[np.r_[first[1:], len(k)] - 1]
+    which = np.minimum(np.searchsorted(pages, x.page), len(pages) - 1)
+    i = np.arange(len(zone))
+    has = pages[which] == x.page
+    zone[has & (i >= lo[which]) & (i <= hi[which])] = 1
+    zone[has & ((i < lo[which] - 1) | (i > hi[which])) & ~x.item] = -1
+    return zone
+
+
+class Evidence:
+    """Bytes of odds, sixteen to one of the natural logarithm, by cell."""
+
+    def __init__(self, odds: np.ndarray | None = None):
+        self.odds = odds
+
+    @classmethod
+    def of(cls, outside: np.ndarray, inside: np.ndarray, sentences: tuple[int, int]) -> Evidence:
+        """From the counts of features and of sentences, outside cores and inside."""
+        share = sentences[0] / max(1, sentences[1])
+        if not share:
+            return cls()
+        odds = np.log((outside + PRIOR * share) / ((inside + PRIOR) * share))
+        q = np.clip(np.rint(odds * _STEP), -127, 127).astype(np.int8)
+        q[outside + inside < SEEN] = _UNKNOWN
+        return cls(q)
+
+    def of_lines(self, x: Lines) -> np.ndarray:
+        """Odds of the known features of each line, between their mean and their mean weighted by size; 0 where there is none."""
+        if self.odds is None:
+            return np.zeros(len(x.page))
+        q = self.odds[x.cell]
+        known = q != _UNKNOWN
+        at, q = x.at[known], q[known].astype(np.float64) / _STEP
+        total = lambda w: np.bincount(at, weights=w, minlength=len(x.page))
+        return (total(q) / np.maximum(total(np.ones(len(q))), 1) + total(q * np.abs(q)) / np.maximum(total(np.abs(q)), 1e-9)) / 2
 
 
 def link_like(s: str) -> bool:
     """Does a plain line look like links side by side: three short parts or more, none of them a number or a sentence?"""
-    parts = [p for p in _LINKS.split(s) if p]
+    parts = [p for p in _LINKS.split(s.strip()) if p]
     return len(parts) >= 3 and all(len(p.split()) <= 4 and any(c.isalpha() for c in p) and not _PROSE_END.search(p) for p in parts)
 
 
-def page_lines(length: np.ndarray) -> np.ndarray:
-    """Which of a page's filled lines, by their lengths of own text, lie between a surge and a dive."""
-    sums = np.convolve(length, np.ones(WINDOW))[WINDOW // 2 :][: len(length)]
-    inside = np.zeros(len(length), bool)
-    own = np.flatnonzero(length)
-    start = None
-    for k, v in enumerate([*sums, 0]):
-        if start is None and v >= SURGE:
-            start = k
-        elif start is not None and v <= 0:
-            in_run = own[(own >= start - WINDOW // 2) & (own < k)]
-            inside[in_run[0] : in_run[-1] + 1] = True
-            start = None
-    return inside
-
-
-def furniture_lines(text: str | None) -> list[int]:
+def bare(s: str) -> bool:
+    """Could a plain line be one link: a few words, no sentence, item, field, address or number?"""
+    return len(s.split()) <= 8 and not _PROSE_END.search(s) and not _ITEM.search(s)
+
+
+def between(own: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Which lines lie from a surge to a dive of the sums of own text."""
+    sums = window_sums(own, page)
+    fresh = np.r_[True, (page[1:] != page[:-1]) | (sums[1:] <= 0) | (sums[:-1] <= 0)] if len(own) else np.zeros(0, bool)
+    run = np.cumsum(fresh) - 1
+    st = np.flatnonzero(fresh)
+    if not len(st):
+        return np.zeros(0, bool)
+    surges = np.maximum.reduceat(sums, st) >= SURGE
+    i = np.arange(len(own))
+    first = np.minimum.reduceat(np.where(own > 0, i, len(own)), st)
+    last = np.maximum.reduceat(np.where(own > 0, i, -1), st)
+    return surges[run] & (i >= first[run]) & (i <= last[run])
+
+
+def _blocks(marked: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Marked lines that stand in a window full of marked lines."""
+    return marked & (window_sums(window_sums(marked, page) >= WINDOW, page) > 0)
+
+
+def judge(pages: list[str], model: Evidence) -> tuple[np.ndarray, np.ndarray]:
+    """(page, line number) of the furniture of some plain pages."""
+    x = lines_of(pages)
+    odds = model.of_lines(x)
+    texts = [p.split("\n") for p in pages]
+    line = lambda k: texts[x.page[k]][x.no[k] - 1].strip()
+    own = np.where(odds >= OUTSIDE, 0, x.length)
+    short = np.flatnonzero((odds < OUTSIDE) & (odds > -0.5))
+    links = np.zeros(len(own), bool)
+    links[[k for k in short if link_like(line(k))]] = True
+    # links have no text of their own, but a window full of such lines is a table, and one full of fields a record
+    links &= ~_blocks(links, x.page)
+    own[links] = 0
+    fields = np.zeros(len(own), bool)
+    fields[[k for k in np.flatnonzero((x.length < SURGE) & (odds > -0.5)) if _FIELD.match(line(k))]] = True
+    fields = _blocks(fields, x.page)
+    own[fields] = x.length[fields]
+    inside = between(own, x.page)
+    # a block of bare lines at an edge of the page is a list of links; the line next to the text may be a title or a name
+    free = np.zeros(len(own), bool)
+    near = np.r_[inside[1:], False] | np.r_[False, inside[:-1]]
+    free[[k for k in short if not inside[k] and not near[k] and x.length[k] < SURGE and bare(line(k))]] = True
+    found = np.where(inside, odds >= INSIDE, (odds >= np.where(x.item, 2 * OUTSIDE, OUTSIDE)) | links | _blocks(free, x.page)) & ~fields
+    if found.any():  # a telephone or other number alone is no link
+        k = np.flatnonzero(found)
+        found[k[[sum(c.isdigit() for c in line(i)) >= 7 and sum(c.isalpha() for c in line(i)) <= 3 for i in k]]] = False
+    return x.page[found], x.no[found]
+
+
+def furniture_lines(text: str | None, model: Evidence | None = None) -> list[int]:
     """Numbers (from 1) of the lines that are site furniture."""
     if not text:
         return []
-    # only short lines are looked at closely; of the others the length alone counts
-    lines = [plain(x) if len(x) <= LONG else x.strip() for x in text.split("\n")]
-    n = len(lines)
-    strong, weak, length = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n)
-    for i, s in enumerate(lines):
-        if not s:
-            continue
-        if len(s) <= LONG:
-            hits, parts = menu_terms(s)
-            prose = _PROSE_END.search(s) is not None and parts < 3
-            if parts >= 2 and hits * 3 >= parts * 2 and hits >= 2:
-                strong[i] = True
-            elif 2 <= parts <= 5 and hits >= 1 and _BREAD.search(s) and not prose and _SEP.split(s)[0].strip() in _MENU:
-                strong[i] = True  # breadcrumb
-            elif parts == 1 and hits == 1 and len(s) < 40:
-                weak[i] = True
-            elif is_phrase(s):
-                strong[i] = True
-        length[i] = 0 if strong[i] or weak[i] else len(s)
-    filled = np.flatnonzero([bool(s) for s in lines])
-    if not len(filled):
-        return []
-    own = length[filled]
-    links = np.array([not strong[i] and not weak[i] and len(lines[i]) <= LONG and link_like(lines[i]) for i in filled])
-    if links.any():
-        # links have no text of their own, but a window full of such lines is a table
-        table_rows = np.convolve(np.convolve(links, np.ones(WINDOW), "valid") == WINDOW, np.ones(WINDOW)) > 0 if len(links) >= WINDOW else np.zeros(len(links), bool)
-        own = np.where(links & ~table_rows, 0, own)
-    inside = page_lines(own)
-    out = []
-    for k, i in enumerate(filled):
-        if strong[i]:
-            out.append(int(i) + 1)
-        elif weak[i]:
-            alone = 0 < k < len(filled) - 1 and own[k - 1] >= SURGE and own[k + 1] >= SURGE
-            if not alone:
-                out.append(int(i) + 1)
-        elif links[k] and not own[k] and not inside[k]:
-            out.append(int(i) + 1)
-    return out
+    return [int(n) for n in judge([plain(text)], model or Evidence())[1]]
 
 
-def main_text(text: str | None) -> str | None:
+def main_text(text: str | None, model: Evidence | None = None) -> str | None:
     """The text without its furniture lines; null stays null, a page of furniture alone gives an empty text."""
     if text is None:
         return None
-    drop = set(furniture_lines(text))
+    drop = set(furniture_lines(text, model))
     return "\n".join(x for i, x in enumerate(text.split("\n"), 1) if i not in drop).strip("\n")
 
 
-def _lines(frames):
+def _parts(texts: list[str]):
+    """Places of about a million characters each in a list of texts."""
+    size = np.cumsum([len(t) for t in texts]) // _CHARS
+    st = runs(size)
+    return zip(st, [*st[1:], len(texts)])
+
+
+def _counts(frames):
+    """One task's counts outside and inside cores, in compressed segments; the last segment counts sentences."""
+    n, sentences = np.zeros((2, CELLS), dtype=np.uint32), np.zeros(_SEGMENT, dtype=np.uint32)
     for f in frames:
-        found = [furniture_lines(t) for t in f["text"]]
-        yield pd.DataFrame({"doc_id": np.repeat(f["doc_id"].to_numpy(), [len(x) for x in found]), "line_no": np.array([y for x in found for y in x], dtype=np.int64)})
+        texts = f["text"].tolist()
+        for lo, hi in _parts(texts):
+            x = lines_of([plain(t) for t in texts[lo:hi]])
+            zone = cores(x)
+            for i, z in enumerate((-1, 1)):
+                cells, c = np.unique(x.cell[zone[x.at] == z], return_counts=True)
+                n[i, cells] += c.astype(np.uint32)
+                sentences[i] += x.sentences[zone == z].sum()
+    n = np.concatenate([n.reshape(-1, _SEGMENT), sentences[None]])
+    some = np.flatnonzero(n.any(axis=1))
+    yield pd.DataFrame({"segment": some, "body": [zlib.compress(n[i].tobytes(), 1) for i in some]})
 
 
-def furniture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text_deep_clean") -> DataFrame:
-    """``doc_id, line_no`` of every furniture line. Lines are parted by line feeds and numbered from 1, blank ones included
-    but never reported. Rows without an id, null and empty texts, and pages of main text alone, give no row."""
+def _add(bodies):
+    n = np.zeros(_SEGMENT, dtype=np.uint64)
+    for b in bodies:
+        x = np.frombuffer(zlib.decompress(b), dtype=np.uint32)
+        n += x
+    return zlib.compress(np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
+
+
+def _pages(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def learn(df: DataFrame, text_col: str = "text_deep_clean") -> Evidence:
+    """What stands outside and inside the cores of all pages of ``df``."""
     ship(df.sparkSession)
-    return df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null and text <> ''").mapInPandas(_lines, "doc_id string, line_no bigint")
+    parts = df.select(F.col(text_col).alias("text")).where("text is not null and text <> ''").mapInPandas(_counts, "segment int, body binary")
+    n = np.zeros((2 * CELLS // _SEGMENT + 1, _SEGMENT))
+    for r in fold_segments(parts, _add).toLocalIterator():  # 2 CELLS numbers, however many pages
+        n[r["segment"]] = np.frombuffer(zlib.decompress(r["body"]), dtype=np.uint32)
+    return Evidence.of(*n[:-1].reshape(2, CELLS), n[-1, :2])
+
+
+def furniture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text_deep_clean", model: Evidence | None = None) -> DataFrame:
+    """``doc_id, line_no`` of every furniture line. Lines are parted by line feeds and numbered from 1, blank ones included
+    but never reported. Rows without an id, null and empty texts, and pages of main text alone, give no row. ``model`` is
+    learned from the same pages unless given."""
+    model = model or learn(df, text_col)
+    sent = df.sparkSession.sparkContext.broadcast(model.odds)  # CELLS bytes
+
+    def run(frames):
+        for f in frames:
+            ids, texts = f["doc_id"].to_numpy(), f["text"].tolist()
+            for lo, hi in _parts(texts):
+                page, no = judge([plain(t) for t in texts[lo:hi]], Evidence(sent.value))
+                yield pd.DataFrame({"doc_id": ids[lo:hi][page], "line_no": no.astype(np.int64)})
+
+    return _pages(df, id_col, text_col).where("doc_id is not null and text is not null and text <> ''").mapInPandas(run, "doc_id string, line_no bigint")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,11 +338,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its main text and the share of it that was kept."""
-    ship(spark)
+    df = table(spark, sf_dir, "mainpipe_cleaned_v4")
+    sent = spark.sparkContext.broadcast(learn(df).odds)
 
     @F.pandas_udf("string")
     def body(t: pd.Series) -> pd.Series:
-        return t.map(main_text, na_action="ignore")
+        model = Evidence(sent.value)
+        return t.map(lambda x: main_text(x, model), na_action="ignore")
 
-    df = table(spark, sf_dir, "mainpipe_cleaned_v4").select("doc_id", body("text_deep_clean").alias("main_text"), F.length("text_deep_clean").cast("bigint").alias("text_chars"))
+    df = df.select("doc_id", body("text_deep_clean").alias("main_text"), F.length("text_deep_clean").cast("bigint").alias("text_chars"))
     return df.withColumn("kept_ratio", F.when(F.col("text_chars") > 0, F.round(F.length("main_text") / F.col("text_chars"), 6)))

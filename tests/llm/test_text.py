@@ -87,45 +87,98 @@ def test_spans_of_frames(spark):
     assert pii.spans(df.where("false"), rows, text_col="text").count() == 0
 
 
-PAGE = """Home | News | Contact | Sitemap
-Home » News » Old lamp
-We use cookies to improve your visit to Lamptown. Accept all cookies or change your settings.
-The old lamp of Lamptown
-She baked forty cookies and a cake for the stall, and the newsletter of 1911 praised the bridge by the river.
-
-Share this: Mail | Print | Copy link
-Follow @lamps for the timetable, said the clerk, who read the terms of service aloud for an hour that day.
-- red lamp
-- blue lamp
-Related: Green lamp 12
-~ Anselm Ormovic
-Contact us | Accessibility | Report a problem
-© 2012 Lamptown. All rights reserved."""
-
-
-def test_furniture():
-    assert furniture.furniture_lines(PAGE) == [1, 2, 3, 7, 11, 13, 14]
-    assert furniture.main_text(PAGE).startswith("The old lamp of Lamptown") and furniture.main_text(PAGE).endswith("Ormovic")
-    assert furniture.furniture_lines(None) == furniture.furniture_lines("") == furniture.furniture_lines("\n\n") == []
-    assert furniture.main_text(None) is None and furniture.main_text("Weather\nSport") == ""
-    assert furniture.furniture_lines("SIGN UP FOR OUR NEWSLETTER AND NEVER MISS A STORY!!") == [1]
-    assert furniture.furniture_lines("Cookie notice: our 17 partners measure 95 how pages are used. OK") == [1]
-    assert furniture.furniture_lines("word " * 40_000) == []
-
-
-def test_furniture_by_distribution():
+CONTENT = "lamp river mill baker clerk harbour stone garden letter bridge winter market teacher window orchard kettle station captain".split()
+#: Furniture in wording of their own; no such words are built into the library.
+TOP = ["Zorble | Quandle | Frimp | Wumpus", "Zorble » Frimp » {}", "This hub keeps snorfs on your gadget to track {}. Grant / Deny", "Investor relations", "Do not sell my personal information"]
+END = ["Splort this: Fax | Telegram", "Nextward: {} 12 »", "© 2012 {} Quandary Group. Reserved to the last comma.", "Snorf settings", "Modern slavery statement"]
+BODY = ["Plugged-in", "Peeked at most", "Moreover at {}"]
+
+
+def page(r, furnish=True):
+    """(lines, numbers of the furniture lines) of a page."""
+    say = lambda n: " ".join("the " + r.choice(CONTENT) + r.choice([" saw", " by", " and", " near"]) for _ in range(n)).capitalize() + "."
+    name = r.choice(CONTENT).capitalize() + r.choice(["ton", "field", "bury"])
+    rows = [(f"The {r.choice(CONTENT)} of {name}", 0)] + [(" ".join(say(r.randint(4, 9)) for _ in range(r.randint(2, 4))), 0) for _ in range(r.randint(1, 4))]
+    if r.random() < 0.4:
+        rows[2:2] = [(f"- {r.choice(CONTENT)} {r.choice(CONTENT)}", 0) for _ in range(3)]
+    if r.random() < 0.3:
+        rows.append((f"~ {name} Vondel", 0))
+    if furnish:
+        if len(rows) > 3 and r.random() < 0.5:
+            rows.insert(2, (r.choice(BODY).format(name), 1))
+        rows = [(x.format(name), 1) for x in r.sample(TOP + BODY, r.randint(0, 3))] + rows + [(x.format(name), 1) for x in r.sample(END + BODY, r.randint(0, 4))]
+    return "\n".join(x for x, _ in rows), {i for i, (_, y) in enumerate(rows, 1) if y}
+
+
+def evidence(texts):
+    import zlib
+
+    import pandas as pd
+
+    n = np.zeros((2 * furniture.CELLS // furniture._SEGMENT + 1, furniture._SEGMENT))
+    for f in furniture._counts([pd.DataFrame({"text": texts})]):
+        for s, b in zip(f["segment"], f["body"]):
+            n[s] = np.frombuffer(zlib.decompress(b), dtype=np.uint32)
+    return furniture.Evidence.of(*n[:-1].reshape(2, furniture.CELLS), n[-1, :2])
+
+
+def scores(model, pages):
+    hit = found = true = 0
+    for text, want in pages:
+        got = set(furniture.furniture_lines(text, model))
+        hit, found, true = hit + len(got & want), found + len(got), true + len(want)
+    return hit / max(1, true), hit / max(1, found)
+
+
+def test_unknown_wording_is_learned_by_distribution():
+    r = random.Random(7)
+    model = evidence([page(r)[0] for _ in range(1500)])
+    recall, precision = scores(model, held := [page(r) for _ in range(300)])
+    assert recall > 0.95 and precision > 0.95
+    assert scores(furniture.Evidence(), held)[0] < 0.5  # a page alone shows less
+    old = furniture.cores
+    try:  # without the windows there is no evidence
+        furniture.cores = lambda x: np.ones(len(x.page), np.int8)
+        assert scores(evidence([page(r)[0] for _ in range(300)]), held)[0] < 0.5
+    finally:
+        furniture.cores = old
+
+
+def test_long_furniture_lines():
+    r = random.Random(8)
+    model = evidence([page(r)[0] for _ in range(1500)])
+    text, _ = page(r, furnish=False)
+    menu = " | ".join(["Zorble", "Quandle", "Frimp", "Wumpus"] * 12)
+    notice = "This hub keeps snorfs on your gadget to track Milton. Grant / Deny " * 5
+    assert len(menu) > 300 and len(notice) > 300
+    assert furniture.furniture_lines(f"{menu}\n{text}\n{notice}", model) == [1, text.count("\n") + 3]
+
+
+def test_furniture_of_a_page_alone():
     prose = "She carried the lamp along the river until the mill came in sight, and nobody on the bridge said a word."
-    bar = "Kettles | Lanterns | Wicks | Oils"  # in no list
-    assert furniture.furniture_lines(f"{bar}\nThe old lamp\n{prose}\n{prose}\nBrass · Copper · Tin\nHome | News") == [1, 5, 6]
+    bar = "Kettles | Lanterns | Wicks | Oils"
+    assert furniture.furniture_lines(f"{bar}\nThe old lamp\n{prose}\n{prose}\nBrass · Copper · Tin") == [1, 5]
     assert furniture.furniture_lines(f"The old lamp\n{bar}\n{prose}") == furniture.furniture_lines(f"{prose}\n{bar}\n{prose}") == []
     assert furniture.furniture_lines(f"{prose}\n" + "\n".join(f"{x} | brass | Lamptown" for x in ("Lamp", "Wick", "Kettle"))) == []  # a table
-    assert furniture.furniture_lines(f"sku: AB12\ncity: Lamptown\nHome | News\n{prose}\n~ Anselm Ormovic") == [3]
-    assert furniture.furniture_lines(f"{prose}\nLesen Sie auch: Alte Lampe 12\n{prose}") == [2]
+    assert furniture.furniture_lines(f"sku: AB12\ncity: Lamptown\nstock: 3\n{prose}\n~ Anselm Ormovic") == []
+    block = "Investor relations\nCareers\nDo not sell my personal information"
+    assert furniture.furniture_lines(f"{block}\nThe old lamp\n{prose}\nA name\n{block}") == [1, 2, 3, 7, 8, 9]
+    assert furniture.furniture_lines(None) == furniture.furniture_lines("") == furniture.furniture_lines("\n \n") == []
+    assert furniture.main_text(None) is None and furniture.main_text(f"{block}\nx\n{prose}") == f"x\n{prose}"
+    assert furniture.furniture_lines("word " * 40_000) == []
 
 
 def test_furniture_frames(spark):
-    df = spark.createDataFrame([("a", PAGE, 5), ("b", None, 6), ("c", "", 7)], "doc_id string, text_deep_clean string, line_no int")
-    assert sorted(r["line_no"] for r in furniture.furniture(df).collect()) == [1, 2, 3, 7, 11, 13, 14]
+    r = random.Random(9)
+    pages = [page(r) for _ in range(800)]
+    rows = [(f"d{i}", t, 5, 6) for i, (t, _) in enumerate(pages)] + [("b", None, 6, 7), ("c", "", 7, 8), (None, pages[0][0], 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id string, text_deep_clean string, line_no int, page int").repartition(3)
+    got = {}
+    for x in furniture.furniture(df).collect():
+        got.setdefault(x["doc_id"], set()).add(x["line_no"])
+    assert set(got) <= {f"d{i}" for i in range(800)}
+    hit = sum(len(got.get(f"d{i}", set()) & w) for i, (_, w) in enumerate(pages))
+    assert hit > 0.95 * sum(len(w) for _, w in pages) and hit > 0.95 * sum(map(len, got.values()))
     assert furniture.furniture(df.where("false")).count() == 0
 
 
