@@ -11,8 +11,8 @@ No list of words or phrases is built in; what furniture looks like is learned fr
 3. *Own text.* A line whose odds are above ``OUTSIDE`` has no text of its own. The lengths of own text are summed over
    the windows again. Runs of windows with text in which the sum reaches ``SURGE`` run from a surge to a dive; from their
    first to their last line with own text, lines belong to the page. Lines without own text open a gap in them if their
-   odds are above ``INSIDE``; outside they are furniture, as are links side by side and blocks of bare link lines, whose
-   words need not occur anywhere else.
+   odds are above ``INSIDE``; outside they are furniture, as are links side by side and blocks of bare link lines of
+   words that hardly occur anywhere else.
 
 A single page without a model is judged by the distribution alone.
 """
@@ -183,15 +183,18 @@ class Evidence:
         q[outside + inside < SEEN] = _UNKNOWN
         return cls(q)
 
-    def of_lines(self, x: Lines) -> np.ndarray:
-        """Odds of the known features of each line, between their mean and their mean weighted by size; 0 where there is none."""
+    def of_lines(self, x: Lines) -> tuple[np.ndarray, np.ndarray]:
+        """Odds of the known features of each line, between their mean and their mean weighted by size, 0 where there is none;
+        and the share of its features that is known."""
         if self.odds is None:
-            return np.zeros(len(x.page))
+            return np.zeros(len(x.page)), np.zeros(len(x.page))
         q = self.odds[x.cell]
         known = q != _UNKNOWN
         at, q = x.at[known], q[known].astype(np.float64) / _STEP
         total = lambda w: np.bincount(at, weights=w, minlength=len(x.page))
-        return (total(q) / np.maximum(total(np.ones(len(q))), 1) + total(q * np.abs(q)) / np.maximum(total(np.abs(q)), 1e-9)) / 2
+        n = total(np.ones(len(q)))
+        odds = (total(q) / np.maximum(n, 1) + total(q * np.abs(q)) / np.maximum(total(np.abs(q)), 1e-9)) / 2
+        return odds, n / np.bincount(x.at, minlength=len(x.page))
 
 
 def link_like(s: str) -> bool:
@@ -228,7 +231,7 @@ def _blocks(marked: np.ndarray, page: np.ndarray) -> np.ndarray:
 def judge(pages: list[str], model: Evidence) -> tuple[np.ndarray, np.ndarray]:
     """(page, line number) of the furniture of some plain pages."""
     x = lines_of(pages)
-    odds = model.of_lines(x)
+    odds, known = model.of_lines(x)
     texts = [p.split("\n") for p in pages]
     line = lambda k: texts[x.page[k]][x.no[k] - 1].strip()
     own = np.where(odds >= OUTSIDE, 0, x.length)
@@ -242,12 +245,18 @@ def judge(pages: list[str], model: Evidence) -> tuple[np.ndarray, np.ndarray]:
     fields[[k for k in np.flatnonzero((x.length < SURGE) & (odds > -0.5)) if _FIELD.match(line(k))]] = True
     fields = _blocks(fields, x.page)
     own[fields] = x.length[fields]
-    inside = between(own, x.page)
-    # a block of bare lines at an edge of the page is a list of links; the line next to the text may be a title or a name
+    # a block of bare lines before or after all text is a list of links; the line next to the text may be a title or a name
+    text = own >= SURGE
+    start = np.flatnonzero(np.r_[True, x.page[1:] != x.page[:-1]]) if len(own) else np.zeros(0, np.int64)
+    i, of = np.arange(len(own)), np.cumsum(np.isin(np.arange(len(own)), start)) - 1
+    first = np.minimum.reduceat(np.where(text, i, len(own)), start)[of] if len(own) else i
+    last = np.maximum.reduceat(np.where(text, i, -1), start)[of] if len(own) else i
     free = np.zeros(len(own), bool)
-    near = np.r_[inside[1:], False] | np.r_[False, inside[:-1]]
-    free[[k for k in short if not inside[k] and not near[k] and x.length[k] < SURGE and bare(line(k))]] = True
-    found = np.where(inside, odds >= INSIDE, (odds >= np.where(x.item, 2 * OUTSIDE, OUTSIDE)) | links | _blocks(free, x.page)) & ~fields
+    free[[k for k in short if known[k] < 0.4 and (last[k] >= 0) and not first[k] - 1 <= k <= last[k] + 1 and bare(line(k))]] = True
+    free = _blocks(free & ~fields, x.page)
+    own[free] = 0
+    inside = between(own, x.page)
+    found = np.where(inside, odds >= INSIDE, (odds >= np.where(x.item, 2 * OUTSIDE, OUTSIDE)) | links | free) & ~fields
     if found.any():  # a telephone or other number alone is no link
         k = np.flatnonzero(found)
         found[k[[sum(c.isdigit() for c in line(i)) >= 7 and sum(c.isalpha() for c in line(i)) <= 3 for i in k]]] = False
@@ -261,12 +270,28 @@ def furniture_lines(text: str | None, model: Evidence | None = None) -> list[int
     return [int(n) for n in judge([plain(text)], model or Evidence())[1]]
 
 
+def without(text: str, drop: set[int]) -> str:
+    return "\n".join(x for i, x in enumerate(text.split("\n"), 1) if i not in drop).strip("\n")
+
+
 def main_text(text: str | None, model: Evidence | None = None) -> str | None:
     """The text without its furniture lines; null stays null, a page of furniture alone gives an empty text."""
-    if text is None:
-        return None
-    drop = set(furniture_lines(text, model))
-    return "\n".join(x for i, x in enumerate(text.split("\n"), 1) if i not in drop).strip("\n")
+    return None if text is None else without(text, set(furniture_lines(text, model)))
+
+
+def main_texts(texts: list[str | None], model: Evidence) -> list[str | None]:
+    """The same for many pages at once."""
+    out = list(texts)
+    some = [i for i, t in enumerate(texts) if t]
+    for lo, hi in _parts([texts[i] for i in some]):
+        page, no = judge([plain(texts[i]) for i in some[lo:hi]], model)
+        st = runs(page)
+        for a, b in zip(st, [*st[1:], len(page)]):
+            i = some[lo + int(page[a])]
+            out[i] = without(texts[i], set(no[a:b].tolist()))
+        for i in set(some[lo:hi]) - {some[lo + int(x)] for x in page[st]}:
+            out[i] = texts[i].strip("\n")
+    return out
 
 
 def _parts(texts: list[str]):
@@ -343,8 +368,7 @@ def p4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     @F.pandas_udf("string")
     def body(t: pd.Series) -> pd.Series:
-        model = Evidence(sent.value)
-        return t.map(lambda x: main_text(x, model), na_action="ignore")
+        return pd.Series(main_texts([x if isinstance(x, str) else None for x in t], Evidence(sent.value)), dtype=object)
 
     df = df.select("doc_id", body("text_deep_clean").alias("main_text"), F.length("text_deep_clean").cast("bigint").alias("text_chars"))
     return df.withColumn("kept_ratio", F.when(F.col("text_chars") > 0, F.round(F.length("main_text") / F.col("text_chars"), 6)))

@@ -166,6 +166,8 @@ def test_furniture_of_a_page_alone():
     assert furniture.furniture_lines(None) == furniture.furniture_lines("") == furniture.furniture_lines("\n \n") == []
     assert furniture.main_text(None) is None and furniture.main_text(f"{block}\nx\n{prose}") == f"x\n{prose}"
     assert furniture.furniture_lines("word " * 40_000) == []
+    texts = [None, "", f"{block}\nx\n{prose}", f"\n{prose}\n", prose]
+    assert furniture.main_texts(texts, furniture.Evidence()) == [furniture.main_text(x) for x in texts]
 
 
 def test_furniture_frames(spark):
@@ -200,7 +202,7 @@ def test_language_held_out():
     words = [[m.word(w) for w in language._WORD.findall(t.lower())] for _, t in test]
     z = m.logits(np.array([sum(s for s, _ in ws) for ws in words]), np.array([sum(n for _, n in ws) for ws in words]))
     assert [m.langs[i] for i in z.argmax(axis=1)] == [y for y, _ in test]
-    assert 0.25 <= m.temperature <= 4 and (m.weights == 0).any()  # the elastic net leaves weights out
+    assert 0.01 < m.temperature < 10 and m.error < 0.2 and (m.weights == 0).any()  # the elastic net leaves weights out
 
 
 def test_segments(spark):
