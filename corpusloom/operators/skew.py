@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+#: Rows of a key from which its group row is broadcast instead of its rows being gathered by key.
+HOT_ROWS = 100_000
+#: There are at most so many keys of that size, whatever the number of rows.
+HOT_KEYS = 10_000
 
 
-def salted_left_join(rows: DataFrame, groups: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
-    """Left join in which each key's rows are spread over ``SALTS`` tasks and its one group row is sent to each.
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str = "n", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of ``rows`` with ``groups``, which has one row a key and the key's number of rows in ``count``.
 
-    ``groups`` has one row a key. ``spread_by`` is a column of ``rows`` with many values.
+    Keys of many rows are joined where their rows lie: their group rows are broadcast, at most ``HOT_KEYS`` of them, as no
+    more keys can each hold that part of all rows. The rows of other keys are shuffled. Both frames are read twice and
+    should be tables. Null keys join nothing.
     """
-    salt = "__salt"
-    left = rows.withColumn(salt, F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    right = groups.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, [*keys, salt], "left").drop(salt)
+    total = groups.select(F.sum(count)).first()[0] or 0
+    least = max(hot_rows, -(-total // HOT_KEYS))
+    hot, cold = groups.where(F.col(count) >= least), groups.where(F.col(count) < least)
+    shuffled = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key) if total >= least else rows.join(cold, key)
+    return shuffled.unionByName(rows.join(F.broadcast(hot), key)) if total >= least else shuffled

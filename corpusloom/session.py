@@ -39,14 +39,15 @@ def shared_dir(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives the loss of executors.
 
-    The table goes with ``release``, at the end of a ``scratch`` block, or when the driver ends, whichever is first.
+    Without a shuffle, ``partition_by`` parts the files by a column of few values. The table goes with ``release``, at the end of a ``scratch`` block, or when the driver ends, whichever is first.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corpusloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._corpusloom_path = path
     if not _OPEN:

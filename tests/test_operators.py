@@ -172,3 +172,44 @@ def test_filters_reach_the_files(spark, tmp_path):
     spark.range(10).withColumn("a", F.col("id")).withColumn("b", F.col("id")).write.parquet(str(tmp_path / "t"))
     plan = spark.read.parquet(str(tmp_path / "t")).where("a > 3").select("b")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(a), GreaterThan(a,3)]" in plan and "ReadSchema: struct<a:bigint,b:bigint>" in plan
+
+
+def test_dedup_shuffles_no_text(spark):
+    from corpusloom.operators.dedup import deduplicate
+
+    df = spark.createDataFrame([(i, f"d{i}", "Same  TEXT" if i % 3 else f"text {i}") for i in range(60)], "row_idx int, doc_id string, text_pii_masked string")
+    out = deduplicate(df, order="row_idx")
+    assert out.where("is_dup_exact").count() == 39 and {r[0] for r in out.where("dup_of is not null").select("dup_of").collect()} == {"d1"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Exchange" in x and "Broadcast" not in x]
+
+
+def test_dedup_without_an_id_numbers_rows(spark):
+    from corpusloom.operators.dedup import deduplicate
+
+    df = spark.createDataFrame([(5, "a b"), (3, "A  b"), (4, "c")], "row_idx int, text_pii_masked string")
+    got = {r["row_idx"]: (r["dedup_id"], r["dup_of"]) for r in deduplicate(df, order="row_idx").collect()}
+    assert got == {3: ("3", None), 5: ("5", "3"), 4: ("4", None)}
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from corpusloom import session
+
+    unset = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: unset), conf=unset)
+    with pytest.raises(ValueError):
+        session.shared_dir(cluster)
+
+
+def test_scratch_deletes_intermediate_tables(spark):
+    from corpusloom import session
+
+    with session.scratch(spark):
+        kept = session.durable(spark.range(3))
+        assert kept.count() == 3
+        gone = session.durable(spark.range(4))
+        session.release(gone)
+        assert gone._corpusloom_path not in session._OPEN and kept._corpusloom_path in session._OPEN
+    assert kept._corpusloom_path not in session._OPEN
