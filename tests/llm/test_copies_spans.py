@@ -1,20 +1,23 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from corpusloom.llm import copies, spans
 
 
-def groups(spark, rows):
+def groups(spark, rows, part_rows=copies.PART_ROWS):
     df = spark.createDataFrame(rows, "doc_id string, exact_canon_text string").repartition(3)
-    g, possible, single = copies.copy_groups(df)
+    g, possible, single = copies.copy_groups(df, part_rows=part_rows)
     out = {}
     for r in g.collect():
         out.setdefault(bytes(r["g"]), []).append(r["doc_id"])
     return {tuple(sorted(v)) for v in out.values() if len(v) > 1}, {r["doc_id"] for r in single.collect()}, {r["doc_id"] for r in possible.collect()}
 
 
-def test_copies(spark):
+@pytest.mark.parametrize("part_rows", [copies.PART_ROWS, 4])
+def test_copies(spark, part_rows):
     rows = [
         ("a1", "Hello,  world"), ("a2", "hello world!"), ("a3", "world hello"),
         ("b1", "title: red lamp | sku: AB1 | stock: 5"), ("b2", "stock : 5; title: Red Lamp; SKU: ab1"), ("b3", "title: red lamp sku: ab1 stock: 5"), ("b4", "stock: 6; title: red lamp; sku: ab1"),
@@ -22,7 +25,7 @@ def test_copies(spark):
         ("d1", "title: x y"), ("d2", "y title: x"),
         ("e1", None), ("e2", ""), ("e3", "--"), ("f1", "unique text here"), (None, "hello world"),
     ]
-    got, single, possible = groups(spark, rows)
+    got, single, possible = groups(spark, rows, part_rows)
     assert got == {("a1", "a2"), ("b1", "b2", "b3", "c1")}
     assert single | possible == {r[0] for r in rows if r[0]} and not single & possible
     assert {"e1", "e2", "e3"} <= single
@@ -54,6 +57,34 @@ def test_hot_group_and_no_miss(spark):
     assert got == {tuple(sorted(v)) for v in truth.values() if len(v) > 1}
 
 
+@pytest.mark.parametrize("bits,hashes", [(1 << 20, 1 << 16), (1 << 20, 1 << 17)])
+def test_filters_let_few_singletons_pass(bits, hashes):
+    """The load of a filter is the same for 10^9 rows as for these: 16 bits a hash, 8 if every row is a record."""
+    import zlib
+
+    r = np.random.default_rng(1)
+    once = r.integers(-(1 << 62), 1 << 62, hashes * 9 // 10)
+    twice = r.integers(-(1 << 62), 1 << 62, hashes // 20)
+    h = r.permutation(np.concatenate([once, twice, twice]))
+    parts = [x for i in range(8) for x in copies._filters(bits)([pd.DataFrame({"h": y}) for y in np.array_split(h[i::8], 3)])]
+    again = np.zeros(bits // 8, dtype=np.uint8)
+    for segment, bodies in pd.concat(parts).groupby("segment")["body"]:
+        both = np.frombuffer(zlib.decompress(copies._merge([copies._merge(bodies[:3]), *bodies[3:]])), np.uint8)
+        again[segment * copies._SEGMENT : segment * copies._SEGMENT + len(both) // 2] = both[len(both) // 2 :]
+    hit = lambda h: ((again[(p := copies._positions(h, bits)) >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1).all(axis=1).mean()
+    assert hit(twice) == 1 and hit(once) < 0.05
+
+
+def test_hot_groups_are_joined_in_place(spark):
+    from corpusloom.operators.skew import join_groups
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 40}", "x") for i in range(900)] + [(901, None, "x")], "id int, k string, first_id string").drop("first_id")
+    sizes = rows.where("k is not null").groupBy("k").count().withColumnRenamed("count", "n")
+    want = {(r["id"], r["k"]) for r in rows.where("k is not null").collect()}
+    for least in (100, 5, 10_000):
+        assert {(r["id"], r["k"]) for r in join_groups(rows, sizes, "k", hot_rows=least).collect()} == want
+
+
 def test_empty_copies(spark):
     assert groups(spark, []) == (set(), set(), set())
 
