@@ -4,7 +4,9 @@ The total size of a mixture is the largest at which every source still reaches i
 are absent, or so small that they would hold the total below ``MIN_SCALE`` of what the mixture's sources have, give all
 they may and their missing part goes to the others by their shares. Each record of a source has the same expected number of
 copies. Expected copies are summed up in an order by size within the source (so that all lengths are hit alike), one random
-offset is added, and a record is emitted once for each integer its stretch of the sum crosses. Prefix sums are taken over
+offset is added, and a record is emitted once for each integer its stretch of the sum crosses. As shares are of tokens and
+texts differ in length, ``OFFSETS`` random offsets are tried, each with the expected copies changed by up to ``STRETCH``, and
+the one is taken whose records' tokens come nearest to those that are due; one pass over the numbered records sums them up for all of these. Prefix sums are taken over
 blocks of records: counts of blocks are added up first, then each block numbers its own records, so that no source is ever
 gathered in one task.
 """
@@ -20,6 +22,8 @@ from corpusloom.llm.tokens import VOCABULARY, with_tokens
 from corpusloom.session import durable, table
 
 MIN_SCALE = 0.05
+#: Random offsets of which the best is taken, and by which part the expected copies may change with them.
+OFFSETS, STRETCH = 64, 0.05
 #: Records of a block, about.
 BLOCK_ROWS = 20_000
 
@@ -42,8 +46,13 @@ def plan(supply: dict[str, int], targets: list[tuple[str, float, int]], min_scal
     return {s: (given.get(s, 0.0) / have[s] if have[s] else 0.0) for s in share}
 
 
-def _offset(seed: int, mixture: str, source: str) -> float:
-    return int.from_bytes(hashlib.sha256(f"{seed}\u0001{mixture}\u0001{source}".encode()).digest()[:6], "big") / 2**48
+def _offset(seed: int, mixture: str, source: str, k: int) -> float:
+    return int.from_bytes(hashlib.sha256(f"{seed}\u0001{mixture}\u0001{source}\u0001{k}".encode()).digest()[:6], "big") / 2**48
+
+
+def _crossed(shift, rate, i):
+    """How many integers the i-th record's stretch of the sum of expected copies crosses."""
+    return F.floor(shift + rate * i) - F.floor(shift + rate * (i - 1))
 
 
 def mix(items: DataFrame, targets: DataFrame, seed: int = 42, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -66,10 +75,13 @@ def mix(items: DataFrame, targets: DataFrame, seed: int = 42, block_rows: int =
         of = [(g["source"], g["s"], g["r"]) for g in goals if g["mixture_name"] == m]
         copies = plan({s: int(r["t"] or 0) for s, r in known.items()}, sorted(of))
         most = {s: float(r) for s, _, r in of}
-        rates += [(m, s, min(c, most[s]), _offset(seed, m, s)) for s, c in copies.items() if c > 0]
+        for s, c in copies.items():
+            if c > 0:
+                stretch = [1 + STRETCH * (2 * _offset(seed, m, s, -k) - 1) if k else 1.0 for k in range(OFFSETS)]
+                rates.append((m, s, c, [_offset(seed, m, s, k) for k in range(OFFSETS)], [min(c * x, most[s]) for x in stretch]))
     if not rates:
         return spark.createDataFrame([], "mixture_name string, source string, doc_id bigint, copy_no int, n_tokens bigint")
-    rate = spark.createDataFrame(rates, "mixture_name string, source string, rate double, shift double")
+    rate = spark.createDataFrame(rates, "mixture_name string, source string, due double, shifts array<double>, rates array<double>")
     blocks = {s: max(1, -(-r["n"] // block_rows)) for s, r in known.items()}
     pairs = [x for s in sorted(blocks) for x in (F.lit(s), F.lit(blocks[s]))]
     # blocks by size first: records of one length class lie together, a hash parts them further
@@ -81,9 +93,16 @@ def mix(items: DataFrame, targets: DataFrame, seed: int = 42, block_rows: int =
     starts = counts.select(*group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inner = Window.partitionBy(*group).orderBy("n_tokens", F.xxhash64("doc_id", F.lit(seed)), "doc_id")
     numbered = rows.withColumn("i", F.row_number().over(inner)).join(starts, group).withColumn("i", F.col("i") + F.col("start"))
-    out = numbered.join(F.broadcast(rate), "source")  # at most 100000 rows, checked above
-    crossed = (F.floor(F.col("shift") + F.col("rate") * F.col("i")) - F.floor(F.col("shift") + F.col("rate") * (F.col("i") - 1))).cast("int")
-    out = out.withColumn("n", crossed).where("n > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    numbered = durable(numbered.select("source", "doc_id", "n_tokens", "i"))
+    tried = numbered.join(F.broadcast(rate), "source")  # at most 100000 rows, checked above
+    sums = [F.sum(F.col("n_tokens") * _crossed(F.col("shifts")[k], F.col("rates")[k], F.col("i"))).alias(f"t{k}") for k in range(OFFSETS)]
+    best = []
+    for r in tried.groupBy("mixture_name", "source").agg(F.first("due").alias("due"), F.first("shifts").alias("shifts"), F.first("rates").alias("rates"), *sums).collect():  # a row a target
+        due = r["due"] * int(known[r["source"]]["t"] or 0)
+        k = min(range(OFFSETS), key=lambda k: (abs(r[f"t{k}"] - due), k))
+        best.append((r["mixture_name"], r["source"], r["rates"][k], r["shifts"][k]))
+    out = numbered.join(F.broadcast(spark.createDataFrame(best, "mixture_name string, source string, rate double, shift double")), "source")
+    out = out.withColumn("n", _crossed(F.col("shift"), F.col("rate"), F.col("i")).cast("int")).where("n > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n"))))
     return out.select("mixture_name", "source", "doc_id", "copy_no", "n_tokens")
 
 

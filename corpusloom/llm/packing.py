@@ -4,13 +4,15 @@ Items go to blocks of about ``WINDOWS`` containers each by a hash, so a block is
 solved at once. Within a block an item above the capacity is cut into full containers and a rest; all other pieces start as
 partial partitions into k windows, of one filled window each. The two partitions of the largest imbalance are merged again
 and again, the fullest window of one with the emptiest of the other, until one partition is left: its windows are near
-equal. k starts at the least that could do and rises while a window exceeds the capacity.
+equal. k starts at the least that could do. While a window exceeds the capacity, pieces are exchanged between it and others
+with room; if that does not do, k rises.
 """
 
 from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +64,48 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return out
 
 
+def repair(sizes: list[int], windows: list[list[int]], capacity: int) -> bool:
+    """Exchange pieces between windows above the capacity and others, until none is above; False if some stay so.
+
+    A piece of a full window changes places with a smaller one, or with room alone, so that the full window's excess goes
+    and the other window stays within the capacity. Of the exchanges that do, the one of the least difference is taken; if
+    none does, the one that takes most of the excess away.
+    """
+    size = np.array([*sizes, 0])
+    where = np.zeros(len(size), dtype=np.int64)
+    for w, items in enumerate(windows):
+        where[items] = w
+    where[-1] = -1
+    used = np.bincount(where[:-1], weights=size[:-1], minlength=len(windows)).astype(np.int64)
+    for _ in range(8 * len(windows)):
+        w = int(used.argmax())
+        excess = used[w] - capacity
+        if excess <= 0:
+            break
+        mine = np.flatnonzero(where[:-1] == w)
+        roomiest = int(used.argmin())
+        other = np.r_[np.flatnonzero(where[:-1] != w), len(sizes)]
+        to = np.r_[where[other[:-1]], roomiest]
+        less = size[mine][:, None] - size[other][None, :]
+        ok = (less > 0) & (less <= (capacity - used)[to][None, :])
+        if not ok.any():
+            return False
+        cost = np.where(ok, np.where(less >= excess, less, (1 << 40) - less), 1 << 50)
+        i, j = np.unravel_index(int(cost.argmin()), cost.shape)
+        d = int(less[i, j])
+        used[w] -= d
+        used[to[j]] += d
+        where[mine[i]] = to[j]
+        if other[j] < len(sizes):
+            where[other[j]] = w
+    if used.max() > capacity:
+        return False
+    o = np.argsort(where[:-1], kind="stable")
+    for w, items in enumerate(np.split(o, np.searchsorted(where[:-1][o], np.arange(1, len(windows))))):
+        windows[w] = items.tolist()
+    return True
+
+
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     """Windows of at most ``capacity`` each, for sizes of 1 to ``capacity``."""
     total = sum(sizes)
@@ -70,7 +114,7 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     while True:
         windows = differencing(sizes, k)
         excess = sum(max(0, sum(sizes[i] for i in w) - capacity) for w in windows)
-        if not excess:
+        if not excess or repair(sizes, windows, capacity):
             return windows
         k += max(1, excess // capacity)
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import ship
+
 #: Where the vocabulary lies; a parameter of every function that counts tokens.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the vocabulary's public tokenizer cuts a text before merging.
@@ -29,6 +31,7 @@ def encoder(body: bytes):
 def with_tokens(df: DataFrame, columns: list[str], text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """The columns and ``n_tokens`` of the whole text; null and empty texts have 0 tokens."""
     spark: SparkSession = df.sparkSession
+    ship(spark)
     with open(vocabulary, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())  # one file of fixed size
 

@@ -19,6 +19,24 @@ def test_differencing(seed):
     assert packing.pack([5], 5) == [[0]] and len([x for x in packing.pack([5, 5, 5], 5) if x]) == 3
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_no_window_too_many(seed):
+    """On log-normal sizes the count of windows is the lower bound, or that of best-fit decreasing, whichever is larger."""
+    r = random.Random(seed)
+    cap = 2048
+    sizes = [min(cap, max(1, int(r.lognormvariate(5.3, 0.9)))) for _ in range(600)]
+    rooms: list[int] = []
+    for s in sorted(sizes, reverse=True):
+        fit = [i for i, x in enumerate(rooms) if x >= s]
+        if fit:
+            rooms[min(fit, key=rooms.__getitem__)] -= s
+        else:
+            rooms.append(cap - s)
+    p = [w for w in packing.pack(sizes, cap) if w]
+    assert sorted(i for x in p for i in x) == list(range(600)) and all(sum(sizes[i] for i in x) <= cap for x in p)
+    assert len(p) <= len(rooms)
+
+
 def test_assign(spark):
     r = random.Random(1)
     rows = [(i, r.choice([0, 1, 5, 50, 100, 101, 250, 1000])) for i in range(500)]
@@ -58,6 +76,16 @@ def test_plan():
     assert mixing.plan({}, [("a", 1.0, 1)]) == {"a": 0.0}
 
 
+def test_shares_of_long_tailed_texts(spark):
+    """Few long texts among many short ones: shares of tokens come within a point of the targets where supply allows."""
+    r = random.Random(5)
+    rows = [(i, f"s{i % 4}", int(r.lognormvariate(5, 1.6)) + 1) for i in range(1600)] + [(9999, "tiny", 40)]
+    items = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("m", f"s{i}", x, 2) for i, x in enumerate((0.125, 0.2, 0.3, 0.374))] + [("m", "tiny", 0.001, 3)], "mixture_name string, source string, target_share double, max_repeats bigint")
+    got = {x["source"]: x["reached_share"] - x["target_share"] for x in mixing.shares(mixing.mix(items, targets), targets).collect()}
+    assert max(map(abs, got.values())) < 0.01
+
+
 @pytest.mark.parametrize("block", [20_000, 37])
 def test_mix(spark, block):
     r = random.Random(2)
