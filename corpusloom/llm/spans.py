@@ -11,8 +11,10 @@ an anchor that stands in both records, and about one suffix in ``(min_len - ANCH
    are sorted, neighbours' common prefixes give the internal nodes of the suffix tree, and the same over the
    reversed left sides its twin. Leaves of two records below one node of depth r that share the left node of depth
    ``min_len - r`` make a maximal repeat.
-4. groups above ``HOT`` suffixes get longer prefixes, up to the whole window: those keys are counted by a
-   distributed aggregation, so that no group is gathered in one task.
+4. groups above ``HOT`` suffixes are split by longer prefixes. A window that has its anchor after d code points shares d of
+   them to the left; so the places d are halved, and the suffixes of either half are grouped by what all its windows
+   have in common: 104 code points of 160, then 132 for quarters. What is hot even so goes by whole windows, counted
+   by a distributed aggregation, so that no group is gathered in one task.
 5. spans that overlap or touch are merged for each record.
 """
 
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrays import Rolling, codes, mix, pack, runs, sliding_min, unpack_all
+from corpusloom.operators.skew import join_groups
 from corpusloom.session import durable, ship, table
 
 ANCHOR = 48
@@ -31,6 +34,8 @@ ANCHOR = 48
 HOT = 20_000
 #: Entries of one block of the exchange, and suffixes of one block of trees.
 BLOCK_ANCHORS, BLOCK_SUFFIXES = 1_000_000, 25_000
+#: Into how many ranges of places the suffixes of hot groups are split, one after the other.
+SPLITS = (2, 4)
 _CHARS = 1 << 20
 
 
@@ -160,6 +165,7 @@ def _trees(min_len: int):
         n = len(f)
         m = _matrix(f, min_len)
         group = np.unique(f["h"].to_numpy(), return_inverse=True)[1].astype(np.int64)
+        first, last = f["lo"].to_numpy(), f["hi"].to_numpy()
         doc = np.unique(f["doc_id"].to_numpy(), return_inverse=True)[1].astype(np.int64)
         ro, rl = _lcp_runs(m[:, side:], group)
         lo, ll = _lcp_runs(m[:, :side][:, ::-1], group)
@@ -175,6 +181,7 @@ def _trees(min_len: int):
             dd = doc[o]
             shared = np.empty(n, dtype=bool)
             shared[o] = np.repeat(np.minimum.reduceat(dd, st) != np.maximum.reduceat(dd, st), size)
+            shared &= (first <= d) & (d <= last)
             least[shared & (least > d)] = d
             most[shared] = d
         hit = most >= 0
@@ -184,21 +191,58 @@ def _trees(min_len: int):
     return run
 
 
-def _windows(min_len: int):
-    """The longest prefixes, whole windows, of hot anchors: (key, record, start)."""
+def _split(min_len: int, ranges: int):
+    """Suffixes by longer prefixes: for each range of places of the anchor in a window, what its windows have in common."""
     side = min_len - ANCHOR
+    bounds = [(side + 1) * i // ranges for i in range(ranges + 1)]
 
     def run(frames):
         for f in frames:
-            for h, doc, p, off, ctx in zip(f["h"], f["doc_id"], f["p"], f["off"], f["ctx"]):
-                s = np.arange(max(0, off - side), min(off, len(ctx) - min_len) + 1)
-                if len(s):
-                    k = Rolling(codes(ctx)).of(s, s + min_len)
-                    yield pd.DataFrame({"k1": k.view(np.int64), "k2": mix(k ^ np.uint64(h & 0xFFFFFFFFFFFFFFFF)).view(np.int64), "doc_id": doc, "start_at": p - off + s})
+            rows = list(zip(f["h"], f["doc_id"], f["p"], f["off"], f["ctx"], f["lo"], f["hi"]))
+            texts, out = [], []
+            for h, doc, p, off, ctx, lo, hi in rows:
+                for d0, d1 in zip(bounds, bounds[1:]):
+                    if lo <= d0 < d1 <= hi + 1 and off >= d0 and len(ctx) - off >= min_len - d1 + 1:
+                        texts.append(ctx[off - d0 : off + min_len - d1 + 1])
+                        out.append((h, doc, p, off, ctx, d0, d1 - 1))
+            if not out:
+                continue
+            c = codes("".join(texts))
+            ends = np.cumsum([len(x) for x in texts])
+            key = Rolling(c).of(ends - [len(x) for x in texts], ends)
+            r = pd.DataFrame(out, columns=["h", "doc_id", "p", "off", "ctx", "lo", "hi"])
+            r["h"] = mix(key + mix(r["h"].to_numpy(np.int64).view(np.uint64) + r["lo"].to_numpy(np.int64).astype(np.uint64))).view(np.int64)
+            yield r
 
     return run
 
 
+def _windows(min_len: int):
+    """The longest prefixes, whole windows, of hot groups: (key, record, start)."""
+
+    def run(frames):
+        for f in frames:
+            if not len(f):
+                continue
+            ctx, off, p = f["ctx"].tolist(), f["off"].to_numpy(), f["p"].to_numpy()
+            lens = np.array([len(x) for x in ctx])
+            first = np.maximum(0, off - f["hi"].to_numpy())
+            n = np.maximum(0, np.minimum(off - f["lo"].to_numpy(), lens - min_len) - first + 1)
+            row = np.repeat(np.arange(len(f)), n)
+            s = first[row] + np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            at = (np.cumsum(lens) - lens)[row] + s
+            k = Rolling(codes("".join(ctx))).of(at, at + min_len)
+            k2 = mix(k ^ f["h"].to_numpy(np.int64).view(np.uint64)[row])
+            yield pd.DataFrame({"k1": k.view(np.int64), "k2": k2.view(np.int64), "doc_id": f["doc_id"].to_numpy()[row], "start_at": p[row] - off[row] + s})
+
+    return run
+
+
+def _hot_keys(rows: DataFrame, hot: int) -> DataFrame:
+    """Keys of more than ``hot`` suffixes; there are at most as many as suffixes divided by that."""
+    return rows.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("hot"))
+
+
 def shared_spans(documents: DataFrame, min_len: int = 160, hot: int = HOT) -> DataFrame:
     """Maximal stretches of each text that are covered by windows of ``min_len`` code points found in another record too.
 
@@ -221,15 +265,24 @@ def shared_spans(documents: DataFrame, min_len: int = 160, hot: int = HOT) -> Da
     any_hot = n > hot and not hot_keys.isEmpty()
     places = places.join(hot_keys, "h", "left").fillna(False, ["hot"]) if any_hot else places.withColumn("hot", F.lit(False))
     at = places.groupBy("doc_id").agg(F.collect_list(F.struct("h", "p", "hot")).alias("at"))
-    ctx = docs.join(at, "doc_id").mapInPandas(_contexts(min_len), "h bigint, doc_id bigint, p int, off int, ctx string, hot boolean")
+    kind = "h bigint, doc_id bigint, p int, off int, ctx string"
+    ctx = docs.join(at, "doc_id").mapInPandas(_contexts(min_len), kind + ", hot boolean").withColumns({"lo": F.lit(0), "hi": F.lit(min_len - ANCHOR)})
     parts = max(1, n // BLOCK_SUFFIXES)
-    trees = ctx.where("not hot") if any_hot else ctx
-    spans = trees.groupBy(F.pmod(F.xxhash64("h"), F.lit(parts)).alias("part")).applyInPandas(_trees(min_len), "doc_id bigint, start_at bigint, end_at bigint")
+
+    def trees(x):
+        return x.groupBy(F.pmod(F.xxhash64("h"), F.lit(parts)).alias("part")).applyInPandas(_trees(min_len), "doc_id bigint, start_at bigint, end_at bigint")
+
+    spans = trees(ctx.where("not hot") if any_hot else ctx)
     if any_hot:
-        win = durable(ctx.where("hot").mapInPandas(_windows(min_len), "k1 bigint, k2 bigint, doc_id bigint, start_at bigint"))
-        several = win.groupBy("k1", "k2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("k1", "k2", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
-        win = win.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start_at"), F.lit(16)).cast("int"))
-        spans = spans.unionByName(win.join(several, ["k1", "k2", "salt"], "left_semi").select("doc_id", "start_at", (F.col("start_at") + min_len).alias("end_at")))
+        rest = ctx.where("hot").drop("hot")
+        for ranges in SPLITS:
+            rest = durable(rest.mapInPandas(_split(min_len, ranges), kind + ", lo int, hi int"))
+            rest = rest.join(_hot_keys(rest, hot), "h", "left").fillna(False, ["hot"])
+            spans = spans.unionByName(trees(rest.where("not hot")))
+            rest = rest.where("hot").drop("hot")
+        win = durable(rest.mapInPandas(_windows(min_len), "k1 bigint, k2 bigint, doc_id bigint, start_at bigint").withColumn("k", F.struct("k1", "k2")))
+        several = win.groupBy("k").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b").select("k", "n")
+        spans = spans.unionByName(join_groups(win, durable(several), "k").select("doc_id", "start_at", (F.col("start_at") + min_len).alias("end_at")))
     return merge_spans(spans)
 
 
