@@ -17,6 +17,8 @@ LEXICON = {
 }
 WORD = r"[\p{L}\p{N}_]+"
 SCALE, SEVERE = 5.0, 0.9
+#: What a toxicity model has to give.
+SCORES = ("toxicity", "severe_toxicity", "insult", "threat", "identity_attack", "sexual_explicit")
 
 
 def lexicon_table(spark: SparkSession) -> DataFrame:

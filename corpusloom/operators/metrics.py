@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.operators.checks import union_all
+from corpusloom.session import durable, release
 
 
 def value_counts(df: DataFrame, col: str, top: int | None = None, name: str = "count") -> DataFrame:
@@ -20,25 +21,58 @@ def stage_counts(df: DataFrame) -> DataFrame:
     return df.agg(n.alias("n_in"), kept.alias("n_kept"), (n - kept).alias("n_dropped"))
 
 
-def describe(df: DataFrame, col: str, accuracy: int | None = None) -> DataFrame:
-    """count, mean, std (of a sample), min, quartiles and max; quartiles are exact and interpolated.
+def quantiles(df: DataFrame, col: str, at: list[float]) -> list[float | None]:
+    """Exact quantiles, interpolated between neighbouring ranks as is usual; nulls are left out, no value gives None.
 
-    Exact quartiles keep every distinct value of the column in the final task; with ``accuracy`` they are approximate
-    and their state is bounded, which is what very many distinct values need.
+    Equal values are counted first, their counts range-partitioned and written; the counts of whole partitions tell in
+    which of them a rank lies, and only these are ranked. No task or driver holds the distinct values.
     """
     x = F.col(col).cast("double")
-    q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy) if accuracy else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    counts = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    mid = durable(counts.repartitionByRange("x").sortWithinPartitions("x").withColumn("p", F.spark_partition_id()))
+    start, n = {}, 0
+    for p, k in sorted(tuple(r) for r in mid.groupBy("p").agg(F.sum("n")).collect()):  # one row a partition
+        start[p] = n
+        n += k
+    if not n:
+        release(mid)
+        return [None] * len(at)
+    ranks = {r for q in at for r in (int(q * (n - 1)), min(n - 1, int(q * (n - 1)) + 1))}
+    parts = {p: s for p, s in start.items() if any(s <= r < s2 for r in ranks for s2 in [min([v for v in start.values() if v > s], default=n)])}
+    before = F.sum("n").over(Window.partitionBy("p").orderBy("x")) - F.col("n") + F.create_map(*[F.lit(v) for p in parts.items() for v in p])[F.col("p")]
+    ranked = mid.where(F.col("p").isin(list(parts))).withColumn("first", before)
+    rows = ranked.where(F.array_max(F.filter(F.array(*[F.lit(r) for r in sorted(ranks)]), lambda r: (r >= F.col("first")) & (r < F.col("first") + F.col("n")))).isNotNull()).collect()  # two rows a quantile
+    release(mid)
+    value = {r: row["x"] for row in rows for r in ranks if row["first"] <= r < row["first"] + row["n"]}
+    out = []
+    for q in at:
+        i, part = int(q * (n - 1)), q * (n - 1) - int(q * (n - 1))
+        lo, hi = value[i], value[min(n - 1, i + 1)]
+        out.append(lo + (hi - lo) * part)
+    return out
+
+
+def describe(df: DataFrame, col: str, accuracy: int | None = None) -> DataFrame:
+    """count, mean, std (of a sample), min, quartiles and max; quartiles are exact and interpolated, or with ``accuracy``
+    approximate, in one pass."""
+    x = F.col(col).cast("double")
     r = lambda c: F.round(c, 6)
-    out = df.agg(F.count(x).alias("count"), r(F.avg(x)).alias("mean"), r(F.stddev_samp(x)).alias("std"), r(F.min(x)).alias("min"), q.alias("q"), r(F.max(x)).alias("max"))
-    return out.select("count", "mean", "std", "min", *[r(F.col("q")[i]).alias(n) for i, n in enumerate(("p25", "p50", "p75"))], "max")
+    names, at = ("p25", "p50", "p75"), [0.25, 0.5, 0.75]
+    if accuracy:
+        q = [F.percentile_approx(x, p, accuracy) for p in at]
+    else:
+        q = [F.max(F.lit(v).cast("double")) for v in quantiles(df, col, at)]
+    out = df.agg(F.count(x).alias("count"), r(F.avg(x)).alias("mean"), r(F.stddev_samp(x)).alias("std"), r(F.min(x)).alias("min"), *[r(v).alias(n) for n, v in zip(names, q)], r(F.max(x)).alias("max"))
+    return out.select("count", "mean", "std", "min", *names, "max")
 
 
-def summary(df: DataFrame, cols: list[str], mean: bool = True) -> DataFrame:
-    """One row a column: min, max, (mean,) median. All in one pass, then turned."""
+def summary(df: DataFrame, cols: list[str], mean: bool = True, accuracy: int | None = None) -> DataFrame:
+    """One row a column: min, max, (mean,) median. The median is exact, or with ``accuracy`` approximate in the same pass."""
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
-        parts.append(F.struct(F.lit(c).alias("metric"), F.round(F.min(x), 6).alias("min"), F.round(F.max(x), 6).alias("max"), *([F.round(F.avg(x), 6).alias("mean")] if mean else []), F.round(F.median(x), 6).alias("median")))
+        median = F.percentile_approx(x, 0.5, accuracy) if accuracy else F.max(F.lit(quantiles(df, c, [0.5])[0]).cast("double"))
+        parts.append(F.struct(F.lit(c).alias("metric"), F.round(F.min(x), 6).alias("min"), F.round(F.max(x), 6).alias("max"), *([F.round(F.avg(x), 6).alias("mean")] if mean else []), F.round(median, 6).alias("median")))
     return df.agg(F.array(*parts).alias("m")).select(F.inline("m"))
 
 

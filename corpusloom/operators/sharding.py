@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +33,33 @@ def assign_shards(df: DataFrame, order: str, docs_per_shard: int = 50_000) -> Da
     return with_index(df, order).withColumn("shard_id", (F.floor(F.col("idx") / docs_per_shard) + 1).cast("bigint"))
 
 
+#: Shards of one run: their first order values are sent to all executors.
+MAX_SHARDS = 1_000_000
+
+
+def shard_bounds(df: DataFrame, order: str, docs_per_shard: int = 50_000) -> list:
+    """The order value of each shard's first row. Only the order column is sorted and numbered."""
+    idx = with_index(df.select(order), order).where(F.col("idx") % docs_per_shard == 0)
+    rows = idx.orderBy("idx").select(order).limit(MAX_SHARDS + 1).collect()  # a row a shard
+    if len(rows) > MAX_SHARDS:
+        raise ValueError(f"more than {MAX_SHARDS} shards; use larger ones")
+    return [r[0] for r in rows]
+
+
+def in_shards(df: DataFrame, order: str, docs_per_shard: int = 50_000) -> DataFrame:
+    """Whole rows with their shard_id, each shard in one task and in order: rows are shuffled once."""
+    bounds = shard_bounds(df, order, docs_per_shard)
+    sent = df.sparkSession.sparkContext.broadcast(bounds)  # at most MAX_SHARDS values
+
+    @F.pandas_udf("bigint")
+    def shard(v: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(sent.value, x) for x in v], dtype="int64")
+
+    return df.withColumn("shard_id", shard(order)).repartition(max(1, len(bounds)), "shard_id").sortWithinPartitions("shard_id", order)
+
+
 def shard_name(base: str):
+    """As the files are called: ``train_shard_00001.jsonl`` for the first shard."""
     return F.format_string(f"{base}_%05d.jsonl", "shard_id")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import DEFAULT, Config
@@ -36,27 +37,34 @@ def language(df: DataFrame, c: Config = DEFAULT, detector: langid.Detector = lan
     return rules.apply(out, rules.language(c))
 
 
-def quality(df: DataFrame, c: Config = DEFAULT) -> DataFrame:
-    """Quality metrics, rough PII counts, toxicity, a model's score and the quality reasons."""
+def quality(df: DataFrame, c: Config = DEFAULT, toxicity_model: Callable[[Column], Column] = toxicity.toxicity, quality_model: Callable[[Column], Column] = scoring.model_quality) -> DataFrame:
+    """Quality metrics, rough PII counts, toxicity, a model's score and the quality reasons.
+
+    ``toxicity_model`` gives a struct of the six scores of ``toxicity.toxicity`` for a text, ``quality_model`` one number;
+    either may be any column function, an Arrow function with a model of one's own included.
+    """
     out = add_struct(df, T.quality_metrics("text_norm"))
     out = add_struct(out, pii.rough_hits("text_norm"))
-    out = add_struct(out, toxicity.toxicity("text_norm"))
-    out = out.withColumn("model_q", scoring.model_quality(F.col("text_norm")))
+    out = add_struct(out, toxicity_model(F.col("text_norm")))
+    require(out, *toxicity.SCORES)
+    out = once(out, model_q=quality_model(F.col("text_norm")).cast("double"))
     if "url" not in out.columns:
         out = out.withColumn("url", F.lit(""))
     return rules.apply(out, rules.quality(c))
 
 
-def clean_and_filter(df: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.lexical, kind: str | None = None) -> DataFrame:
-    """The whole second stage. Rows with an early reason skip the costly steps: their features are null.
+def clean_and_filter(df: DataFrame, c: Config = DEFAULT, detector: langid.Detector = langid.lexical, kind: str | None = None, **models) -> DataFrame:
+    """The whole second stage in one pass; ``text`` becomes the normalised text where there is one.
 
+    Rows with an early reason skip the costly steps, as these see a null text for them: their features are null.
     Language-dropped rows are kept with their reason like all others.
     """
     pre = prefilter(df, c, kind)
-    if pre.isStreaming:
-        return quality(language(pre, c, detector), c).withColumn("text", F.col("text_norm"))
-    alive = quality(language(rules.kept(pre), c, detector), c)
-    return alive.unionByName(rules.dropped(pre), allowMissingColumns=True).withColumn("text", F.coalesce("text_norm", "text"))
+    early = once(pre, __norm=F.col("text_norm"), __early=F.col("drop_reason").isNotNull())
+    out = quality(language(early.withColumn("text_norm", F.when(~F.col("__early"), F.col("text_norm"))), c, detector), c, **models)
+    new = [x for x in out.columns if x not in early.columns and x != "url"]
+    out = out.withColumns({**{x: F.when(~F.col("__early"), F.col(x)) for x in new}, "text_norm": F.col("__norm"), "text": F.coalesce("__norm", "text")})
+    return out.drop("__norm", "__early")
 
 
 def deep_clean(df: DataFrame, c: Config = DEFAULT) -> DataFrame:

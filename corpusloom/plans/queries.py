@@ -48,14 +48,49 @@ def scan_jsonl(spark, d):
     return readers.jsonl(spark, path, schema)
 
 
+def _typed_lines(spark, d):
+    """The raw pages as JSON lines, numeric texts written as numbers, and read with the kinds of their values."""
+    path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    number = F.col("text").rlike("^[1-9][0-9]{0,17}$")
+    text = F.to_json(F.struct("row_idx", "url", "text"), {"ignoreNullFields": "false"})
+    plain = F.to_json(F.struct("row_idx", "url"), {"ignoreNullFields": "false"})
+    line = F.when(number, F.concat(F.expr("left(p, length(p) - 1)"), F.lit(',"text":'), F.col("text"), F.lit("}"))).otherwise(F.col("t"))
+    table(spark, d, V1).withColumns({"t": text, "p": plain}).select(line.alias("value")).write.mode("overwrite").text(path)
+    return readers.jsonl_typed(spark, path, row_idx="bigint")
+
+
 @query
 def scan_jsonl_typed(spark, d):
-    """Kinds of the raw values: a third of the texts is written as a number or null first."""
+    """Kind, url and length of every raw text after a way through JSON lines."""
+    return _typed_lines(spark, d).select("row_idx", "url", F.coalesce("text_kind", F.lit("ABSENT")).alias("kind"), F.coalesce(F.length("text"), F.lit(-1)).cast("bigint").alias("text_chars"))
+
+
+@query
+def drop_reason_typed(spark, d):
+    """The early rules where the source knows that a value was no text."""
+    return stages.prefilter(_typed_lines(spark, d), kind="text_kind").select("row_idx", "drop_reason")
+
+
+@query
+def head_lines(spark, d):
+    """The first three lines of a JSON-lines file of sorted ids."""
     path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
-    v = F.pmod("row_idx", F.lit(3))
-    line = F.concat(F.lit('{"url":"u","text":'), F.when(v == 0, F.col("row_idx").cast("string")).when(v == 1, F.lit("null")).otherwise(F.concat(F.lit('"t'), F.col("row_idx"), F.lit('"'))), F.lit("}"))
-    table(spark, d, V1).select(line.alias("value")).write.mode("overwrite").text(path)
-    return readers.jsonl_typed(spark, path).groupBy(F.coalesce("text_kind", F.lit("ABSENT")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    table(spark, d, DOCS).select("doc_id", "source").orderBy("doc_id").coalesce(1).write.option("ignoreNullFields", "false").json(path)
+    return readers.head_lines(spark, path, 3).select(F.from_json("value", "doc_id bigint, source string").alias("r")).select("r.*")
+
+
+@query
+def fail_fast(spark, d):
+    """What is refused while the plan is made: a missing file, missing columns."""
+    tests = {"missing_file": lambda: readers.jsonl(spark, f"{d}/no_such_file.jsonl"), "missing_column": lambda: readers.parquet(spark, f"{d}/{V1}.parquet", "no_such_column"), "present": lambda: readers.parquet(spark, f"{d}/{V1}.parquet", "text")}
+    rows = []
+    for name, f in tests.items():
+        try:
+            f()
+            rows.append((name, False))
+        except Exception:
+            rows.append((name, True))
+    return spark.createDataFrame(rows, "check_name string, refused boolean")
 
 
 @query
@@ -195,12 +230,17 @@ def quality_score(spark, d):
 
 @query
 def subset(spark, d):
-    return table(spark, d, V4).select("doc_id", scoring.subset(F.col("unique_token_ratio")).alias("subset"))
+    return _scored(spark, d).select("doc_id", scoring.subset(F.col("quality_score")).alias("subset"))
 
 
 @query
 def model_quality(spark, d):
-    return table(spark, d, V4).select("doc_id", scoring.model_quality().alias("model_q"))
+    """The quality stage with models of one's own: a score by length, and a toxicity that counts exclamation marks."""
+    loud = lambda t: F.least(F.lit(1.0), F.coalesce(F.regexp_count(t, F.lit("!")), F.lit(0)) / 10.0)
+    tox = lambda t: F.struct(loud(t).alias("toxicity"), *[F.lit(0.0).alias(c) for c in toxicity.SCORES[1:]])
+    pre = table(spark, d, V2).select("doc_id", "url", "text_norm")
+    out = stages.quality(pre, DEFAULT, toxicity_model=tox, quality_model=lambda t: F.least(F.lit(1.0), F.length(t) / 1000.0))
+    return rounded(out.select("doc_id", "toxicity", "model_q", (F.col("drop_reason") == "high_toxicity").alias("is_loud")), "toxicity", "model_q").fillna(False, ["is_loud"])
 
 
 @query
@@ -222,7 +262,7 @@ def tokenise(spark, d):
     """By bytes, as its SQL; the reference's limit counts BPE tokens, as ``tokenise_bpe`` does."""
     out = stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.byte_level)
     n, mask = F.size("input_ids"), F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
-    return out.select("doc_id", "n_tokens", F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"), (n == mask).alias("mask_fits"), "drop_reason")
+    return out.select("doc_id", "n_tokens", F.md5(F.array_join("input_ids", " ")).alias("ids_in_order"), (n == mask).alias("mask_fits"), "drop_reason")
 
 
 @query
@@ -305,8 +345,14 @@ def dedup_exact(spark, d):
 
 @query
 def dedup_near(spark, d):
-    c = Config(near_dup_min_len=50, near_key_chars=100)
-    return dedup.deduplicate(table(spark, d, V4).select("doc_id", "text_pii_masked"), c).select("doc_id", "is_dup_near", "drop_reason")
+    return _dedup(spark, d).select("doc_id", "near_key", "is_dup_near", "drop_reason")
+
+
+@query
+def dedup_by_row_number(spark, d):
+    """Without an id column the row number is the id."""
+    raw = table(spark, d, V1).select("row_idx", F.col("text").alias("text_pii_masked"))
+    return dedup.deduplicate(raw, order="row_idx").select("row_idx", "dedup_id", "dup_of")
 
 
 @query
@@ -387,7 +433,26 @@ def pii_rows(spark, d):
 
 @query
 def pii_hit_hist(spark, d):
-    return metrics.value_counts(table(spark, d, V4), "pii_phone_hits", top=30, name="n")
+    """Of each of the four counters its most frequent values, 30 at most."""
+    v4 = table(spark, d, V4)
+    return checks.union_all(*[metrics.value_counts(v4, c, top=30, name="n").select(F.lit(c).alias("counter"), F.col(c).alias("hits"), "n") for c in metrics.PII_COUNTS])
+
+
+@query
+def csv_drop_counts(spark, d):
+    """The CSV of drop counts, one file, read back."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    sinks.write_csv(metrics.value_counts(_early(spark, d), "drop_reason", name="n"), path, one_file=True)
+    return spark.read.option("header", True).schema("drop_reason string, n bigint").csv(path)
+
+
+@query
+def sink_kept_dropped(spark, d):
+    """Both sides of a stage written to folders that are not there yet, and read back."""
+    base = f"{shared_dir(spark)}/sides-{uuid.uuid4().hex}/a/b"
+    sinks.write_kept_dropped(_early(spark, d).select("row_idx", "drop_reason"), f"{base}/kept", f"{base}/dropped")
+    read = lambda x: spark.read.parquet(f"{base}/{x}").select("row_idx", "drop_reason", F.lit(x).alias("side"))
+    return read("kept").unionByName(read("dropped"))
 
 
 @query
@@ -418,6 +483,17 @@ for _t, _c, _b in ((V2, "char_len", 80), (V2, "word_count", 80), (V2, "lang_scor
     _hist(_t, _c, _b)
 
 
+@query
+def hist_quality_score(spark, d):
+    return metrics.histogram(_scored(spark, d), "quality_score", 50)
+
+
+@query
+def hist_n_tokens(spark, d):
+    """By bytes, as its SQL."""
+    return metrics.histogram(stages.tokenise(table(spark, d, V4).select("doc_id", "text_pii_masked"), tokenizer.byte_level), "n_tokens", 80)
+
+
 @query
 def structural_counters(spark, d):
     return metrics.structural_counters(table(spark, d, V2), "text_norm")
@@ -444,27 +520,41 @@ def shard_manifest(spark, d):
     return sharding.manifest(sharding.assign_shards(items, "doc_id", 300))
 
 
+def _shards_of(spark, d, encode, name, only_kept=False):
+    """Shards written as JSON lines under the names of the manifest, read back: file, rows and tokens of each."""
+    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    docs = stages.tokenise(table(spark, d, DOCS).select("doc_id", F.col("text").alias("text_pii_masked")), encode)
+    m = sinks.write_shards(rules.kept(docs) if only_kept else docs, path, "doc_id", Config(docs_per_shard=300), tokenizer_name=name)
+    if not m["shards"]:
+        return spark.createDataFrame([], "shard_id bigint, filename string, num_docs bigint, total_tokens bigint")
+    schema = "input_ids array<int>, attention_mask array<int>, doc_id bigint"
+    read = spark.read.schema(schema).json([s["path"] for s in m["shards"]]).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("filename"), F.size("input_ids").alias("n"))
+    found = read.groupBy("filename").agg(F.count(F.lit(1)).alias("num_docs"), F.sum("n").alias("total_tokens"))
+    listed = spark.createDataFrame([(s["shard_id"], s["filename"], s["num_docs"], s["total_tokens"]) for s in m["shards"]], "shard_id bigint, filename string, num_docs bigint, total_tokens bigint")
+    return listed.join(found, ["filename", "num_docs", "total_tokens"]).select("shard_id", "filename", "num_docs", "total_tokens")
+
+
 @query
 def shard_files(spark, d):
-    """Shards written as JSON lines and read back: rows and tokens of each. As its SQL, of the texts of 10 to 2,048 bytes."""
-    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
-    docs = stages.tokenise(table(spark, d, DOCS).select("doc_id", F.col("text").alias("text_pii_masked")), tokenizer.byte_level)
-    sinks.write_shards(rules.kept(docs), path, "doc_id", Config(docs_per_shard=300))
-    return spark.read.schema("input_ids array<int>, attention_mask array<int>, doc_id bigint, shard_id bigint").json(path).groupBy("shard_id").agg(F.count(F.lit(1)).alias("num_docs"), F.sum(F.size("input_ids")).alias("total_tokens"))
+    """Shards of all documents, in bytes, as its SQL."""
+    return _shards_of(spark, d, tokenizer.byte_level, "byte_level")
 
 
 @query
 def shard_files_bpe(spark, d):
     """Shards of all documents, whatever their length, in BPE tokens."""
-    path = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
-    docs = stages.tokenise(table(spark, d, DOCS).select("doc_id", F.col("text").alias("text_pii_masked")), _bpe(spark))
-    sinks.write_shards(docs, path, "doc_id", Config(docs_per_shard=300), tokenizer_name="byte_bpe_50k")
-    return spark.read.schema("input_ids array<int>, attention_mask array<int>, doc_id bigint, shard_id bigint").json(path).groupBy("shard_id").agg(F.count(F.lit(1)).alias("num_docs"), F.sum(F.size("input_ids")).alias("total_tokens"))
+    return _shards_of(spark, d, _bpe(spark), "byte_bpe_50k")
 
 
 @query
 def toy_shard(spark, d):
-    return sharding.sample(table(spark, d, DOCS).select("doc_id", "source"), 100, "doc_id")
+    """What a sample must hold whatever its seed: so many rows (or all), no row twice, all of the table; seeds differ."""
+    docs = table(spark, d, DOCS).select("doc_id", "source")
+    one, two = (sharding.sample(docs, 100, "doc_id", seed) for seed in (42, 7))
+    n = one.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_ids"))
+    inside = one.join(docs, ["doc_id"], "left_semi").agg(F.count(F.lit(1)).alias("n_known"))
+    other = one.join(two, "doc_id", "left_anti").agg((F.count(F.lit(1)) > 0).alias("seeds_differ"))
+    return n.join(inside).join(other)  # one row each
 
 
 def _parsed(records: DataFrame) -> DataFrame:
@@ -524,6 +614,20 @@ def pipeline_reasons(spark, d):
     return flagship(spark, d)
 
 
+@query
+def pipeline_reasons_bytes(spark, d):
+    """The whole run with the tokenizer that SQL has too: its limits count bytes."""
+    out = pipeline.run(table(spark, d, V1).drop("source", "ingest_ts"), DEFAULT, encode=tokenizer.byte_level)
+    return checks.union_all(out["dropped"].select("row_idx", "drop_reason"), rules.kept(out["tokenised"]).select("row_idx", F.lit("kept").alias("drop_reason")))
+
+
+@query
+def clean_and_filter(spark, d):
+    """The second stage: its text is the normalised one, its language is there under both names."""
+    out = stages.clean_and_filter(table(spark, d, V1))
+    return out.select("row_idx", "text", "drop_reason", F.coalesce(F.col("lang") == F.col("lang_pred"), F.lit(False)).alias("lang_is_pred"))
+
+
 @query
 def pipeline_kept_lines(spark, d):
     """The option that keeps line feeds, so that boilerplate is removed line by line."""
@@ -534,12 +638,14 @@ def pipeline_kept_lines(spark, d):
 
 @query
 def metrics_report(spark, d):
-    """The summary metrics as one JSON text."""
-    s = _scored(spark, d)
-    one = metrics.describe(s, "quality_score").select(F.struct("*").alias("quality_score"))
-    pii_part = metrics.pii_totals(table(spark, d, V4)).select(F.struct("*").alias("pii"))
-    both = checks.union_all(one, pii_part).agg(F.max("quality_score").alias("quality_score"), F.max("pii").alias("pii"))
-    return both.select(F.to_json(F.struct("quality_score", "pii")).alias("metrics"))
+    """The summary metrics, written as one JSON file and read back: a row a metric."""
+    s, v4 = _scored(spark, d), table(spark, d, V4)
+    values = {"quality_score": metrics.describe(s, "quality_score").first().asDict(), "pii": metrics.pii_totals(v4).first().asDict(), "drop_reasons": {r["drop_reason"]: r["n"] for r in metrics.value_counts(_early(spark, d), "drop_reason", name="n").collect()}}
+    path = f"{shared_dir(spark)}/metrics-{uuid.uuid4().hex}.json"
+    sinks.write_metrics(values, path, spark)
+    part = "map<string, double>"
+    read = spark.read.text(path, wholetext=True).select(F.from_json("value", f"quality_score {part}, pii {part}, drop_reasons {part}").alias("r"))
+    return checks.union_all(*[read.select(F.lit(k).alias("report"), F.explode(f"r.{k}").alias("metric", "value")) for k in values])
 
 
 @query
@@ -553,12 +659,31 @@ def stream_reason_counts(spark, d):
     return spark.read.parquet(f"{base}/out").groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stream_clean(spark, d):
+    """Cleaning, filtering and deep cleaning of a stream of the raw pages: rows by reason."""
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    s = stream.clean(stream.read_parquet(spark, f"{d}/{V1}.parquet*", table(spark, d, V1).schema)).select("row_idx", "drop_reason")
+    stream.drain(s, lambda b, i: b.write.mode("overwrite").parquet(f"{base}/out/batch={i}"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select("row_idx", "drop_reason")
+
+
+@query
+def stream_window_counts(spark, d):
+    """Rows of the stream by day and early reason; rows without a time count under none."""
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    s = stages.prefilter(stream.read_parquet(spark, f"{d}/{V1}.parquet*", table(spark, d, V1).schema)).withColumn("crawled_at", F.col("crawled_at").cast("timestamp"))
+    stream.drain(stream.reason_counts(s, "crawled_at"), lambda b, i: b.write.mode("overwrite").parquet(f"{base}/out"), f"{base}/checkpoint", "complete")
+    return spark.read.parquet(f"{base}/out").select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "reason", "n")
+
+
 @query
 def stream_dedup(spark, d):
-    """Exact copies within a watermark over the crawl time: distinct canonical texts that arrived."""
-    src = f"{d}/{DOCS}.parquet*"
+    """Exact copies within a watermark of as long as the table: distinct canonical texts. The time is that of the crawl, or of the
+    arrival where there is none."""
     schema = table(spark, d, DOCS).schema
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    s = stream.dedup_exact(stream.read_parquet(spark, src, schema).where("crawled_at is not null").withColumn("crawled_at", F.col("crawled_at").cast("timestamp")), "text", "crawled_at", "36500 days").select("doc_id", "exact_hash")
+    rows = stream.read_parquet(spark, f"{d}/{DOCS}.parquet*", schema).withColumn("seen_at", F.coalesce("crawled_at", "ingested_at").cast("timestamp"))
+    s = stream.dedup_exact(rows, "text", "seen_at", "36500 days").select("exact_hash")
     stream.drain(s, lambda b, i: b.write.mode("overwrite").parquet(f"{base}/out/batch={i}"), f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(f"{base}/out").select("exact_hash")

@@ -28,6 +28,7 @@ def _in(words) -> str:
     return ", ".join(f"'{w}'" for w in words)
 
 
+#: Fixed values, as in the functions: patterns and words.
 _BOILER = "cookie(s)? policy|accept( all)? cookies|privacy policy|terms of service|all rights reserved|sign up for our newsletter|subscribe to our newsletter|contact us"
 
 
@@ -47,10 +48,12 @@ def _repeats(src: str, key: str, text: str) -> str:
   ) GROUP BY {key}, {text}"""
 
 
+#: Fixed values, as in the functions: stop words, patterns of personal data, votes of languages, toxic words.
 _STOP = "the a an and or of to in for on at is it this that with as by from be are was were will would can could has have had about into over after before between up down".split()
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 _PHONE = r"\b(?:\+?\d{1,3}[\s\-\.]?)?(?:\(?\d{2,4}\)?[\s\-\.]?)?\d{3,4}[\s\-\.]?\d{3,4}\b"
 _CARD = r"\b(?:\d[ -]*?){13,16}\b"
+_ROUGH = r"\+?\d[\d\- ]{7,}\d"
 _IBAN = r"\b[A-Z]{2}\d{2}[A-Z0-9]{10,30}\b"
 _VOTES = {
     "en": "the of and to in is was that it for with as his he be at by had not are but from or have an they which their this were",
@@ -142,7 +145,7 @@ def _dedup(min_len: int, key: int) -> str:
 WITH c AS (SELECT doc_id, {_canon('text_pii_masked')} AS canon FROM mainpipe_cleaned_v4),
 k AS (SELECT doc_id, sha256(canon) AS exact_hash, substr(canon, 1, {key}) AS near_key, length(canon) >= {min_len} AND canon <> '' AS cand FROM c),
 e AS (SELECT *, min(doc_id) OVER (PARTITION BY exact_hash) AS fe, min(doc_id) OVER (PARTITION BY near_key, cand) AS fn FROM k),
-d AS (SELECT doc_id, exact_hash, doc_id <> fe AS is_dup_exact, cand AND doc_id <> fn AND doc_id = fe AS is_dup_near, fe, fn FROM e),
+d AS (SELECT doc_id, exact_hash, near_key, doc_id <> fe AS is_dup_exact, cand AND doc_id <> fn AND doc_id = fe AS is_dup_near, fe, fn FROM e),
 g AS (SELECT *, CASE WHEN is_dup_exact THEN fe WHEN is_dup_near THEN fn END AS dup_of,
   CASE WHEN is_dup_exact THEN 'exact_duplicate' WHEN is_dup_near THEN 'near_duplicate' END AS drop_reason FROM d)"""
 
@@ -176,10 +179,38 @@ _FILLED = "coalesce(nullif(text_pii_masked, ''), nullif(text_deep_clean, ''), {}
 _SHARDS = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx, coalesce(strlen(text), 0)::BIGINT AS n_tokens FROM documents"
 _SPAM = f"WITH t AS (SELECT row_idx, {_tok('text')} AS tk FROM mainpipe_ingested_v1), u AS (SELECT row_idx, tk, CASE WHEN len(tk) > 0 THEN list_max(map_values(list_histogram(tk)))::DOUBLE / len(tk) ELSE 0.0::DOUBLE END AS top FROM t) "
 
+_KIND = "CASE WHEN text IS NULL THEN 'VOID' WHEN regexp_matches(text, '^[1-9][0-9]{0,17}$') THEN 'BIGINT' ELSE 'STRING' END"
+#: The whole run over the raw pages: cleaned, deepened and whole, with the reasons of each stage.
+_RUN = _PRE + f""",
+lv AS (SELECT row_idx, regexp_extract_all(lower(coalesce(text_norm, '')), '\\p{{L}}+') AS lt, length(regexp_replace(text_norm, '[^\\p{{L}}]', '', 'g')) AS ls, length(regexp_replace(text_norm, '[^A-Za-z]', '', 'g')) AS asc_ls FROM pre WHERE drop_reason IS NULL),
+lw AS (SELECT row_idx, ls, asc_ls, {', '.join(f"len(list_filter(lt, lambda w: w IN ({_in(ws.split())}))) AS v_{k}" for k, ws in _VOTES.items())} FROM lv),
+lx AS (SELECT *, {' + '.join('v_' + k for k in _VOTES)} AS total, greatest({', '.join('v_' + k for k in _VOTES)}) AS best FROM lw),
+ly AS (SELECT *, CASE WHEN total = 0 THEN 'unk' {' '.join(f"WHEN v_{k} = best THEN '{k}'" for k in _VOTES)} END AS lang_pred, CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE best::DOUBLE / total END AS lang_score FROM lx),
+lr AS (SELECT row_idx, CASE WHEN lang_pred = 'unk' THEN 'lang_unknown' WHEN lang_pred <> 'en' THEN 'non_english' WHEN lang_score < 0.8 THEN 'low_lang_confidence' WHEN ls > 0 AND (ls - asc_ls)::DOUBLE / ls > 0.5 THEN 'non_latin_heavy' END AS lang_reason FROM ly),
+qf AS (SELECT *, string_split(text_norm, ' ') AS ws, {_TOK} AS tk FROM pre WHERE drop_reason IS NULL),
+qr AS (SELECT row_idx, CASE WHEN len(ws) < 5 THEN 'too_short' WHEN len(ws) > 5000 THEN 'too_long' WHEN length(regexp_replace(text_norm, '[^\\p{{L}}]', '', 'g'))::DOUBLE / length(text_norm) < 0.5 THEN 'low_alpha_ratio'
+  WHEN 1.0::DOUBLE - len(list_distinct(ws))::DOUBLE / len(ws) > 0.8 THEN 'high_repetition' WHEN regexp_matches(url, '/ads/|example-spam-site\\.com') THEN 'blocked_url'
+  WHEN {_n('text_norm', _EMAIL)} + {_n('text_norm', _ROUGH)} > 20 THEN 'pii_heavy' WHEN {_TOX_ALL} >= 0.8 THEN 'high_toxicity' END AS quality_reason FROM qf),
+cleaned AS (SELECT pre.row_idx, pre.doc_id, pre.text, pre.text_norm, pre.drop_reason AS early, coalesce(pre.drop_reason, lang_reason, quality_reason) AS reason FROM pre LEFT JOIN lr USING (row_idx) LEFT JOIN qr USING (row_idx)),
+h AS (SELECT row_idx, {_boiler("regexp_replace(text_norm, '<[^>]+>', ' ', 'g')")} AS b FROM cleaned WHERE reason IS NULL),
+rep AS ({_repeats('h', 'row_idx', 'b')}),
+dx AS (SELECT h.row_idx, coalesce(rep.out, h.b) AS text_deep_clean FROM h LEFT JOIN rep USING (row_idx)),
+dy AS (SELECT row_idx, text_deep_clean, {_tok('text_deep_clean')} AS tk FROM dx),
+dz AS (SELECT row_idx, {_mask('text_deep_clean')} AS masked, CASE WHEN len(tk) >= 3 AND list_max(map_values(list_histogram(tk)))::DOUBLE / len(tk) > 0.7 THEN 'repetitive_token_spam'
+  WHEN len(tk) >= 10 AND len(list_distinct(tk))::DOUBLE / len(tk) < 0.2 THEN 'low_unique_token_ratio' WHEN len(tk) >= 10 AND len(list_filter(tk, lambda w: lower(w) IN ({_in(_STOP)})))::DOUBLE / len(tk) > 0.95 THEN 'high_stopword_ratio' END AS deep_reason FROM dy),
+deepened AS (SELECT cleaned.*, masked, deep_reason FROM cleaned LEFT JOIN dz USING (row_idx)),
+uc AS (SELECT row_idx, {_canon('masked')} AS canon FROM deepened WHERE reason IS NULL AND deep_reason IS NULL),
+ue AS (SELECT row_idx, min(row_idx) OVER (PARTITION BY canon) AS fe, length(canon) >= 200 AS cand, min(row_idx) OVER (PARTITION BY substr(canon, 1, 500), length(canon) >= 200) AS fn FROM uc),
+ud AS (SELECT row_idx, CASE WHEN row_idx <> fe THEN 'exact_duplicate' WHEN cand AND row_idx <> fn THEN 'near_duplicate' END AS dup_reason FROM ue),
+whole AS (SELECT deepened.*, dup_reason, CASE WHEN coalesce(strlen(masked), 0) < 10 THEN 'too_few_tokens' WHEN strlen(masked) > 2048 THEN 'too_many_tokens' END AS token_reason FROM deepened LEFT JOIN ud USING (row_idx))"""
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT row_idx, doc_id, url, text FROM mainpipe_ingested_v1",
     "scan_jsonl": "SELECT doc_id, text, source FROM documents",
-    "scan_jsonl_typed": "SELECT CASE row_idx % 3 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'VOID' ELSE 'STRING' END AS kind, count(*) AS n FROM mainpipe_ingested_v1 GROUP BY 1",
+    "scan_jsonl_typed": f"SELECT row_idx, url, {_KIND} AS kind, coalesce(length(text), -1)::BIGINT AS text_chars FROM mainpipe_ingested_v1",
+    "drop_reason_typed": _PRE + f" SELECT row_idx, CASE WHEN {_KIND} = 'BIGINT' THEN 'non_string' ELSE drop_reason END AS drop_reason FROM pre",
+    "head_lines": "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 3",
+    "fail_fast": "SELECT * FROM (VALUES ('missing_file', true), ('missing_column', true), ('present', false)) AS t(check_name, refused)",
     "scan_optional": "SELECT count(*) AS n FROM mainpipe_ingested_v1",
     "doc_id_sha1": "SELECT row_idx, sha1(coalesce(url, 'None') || '||' || coalesce(text, 'None')) AS doc_id, 'mainpipe_v1' AS source, '2025-01-01T00:00:00' AS ingest_ts FROM mainpipe_ingested_v1",
     "normalize_text": f"SELECT row_idx, {_norm('text')} AS text_norm FROM mainpipe_ingested_v1",
@@ -210,11 +241,14 @@ CASE WHEN len(tk) > 0 THEN round(len(list_filter(tk, lambda w: lower(w) IN ({_in
     "canon_near": f"SELECT doc_id, substr({_canon('text_pii_masked')}, 1, 500) AS near_key FROM mainpipe_cleaned_v4",
     "sha256": f"SELECT doc_id, sha256({_canon('text_pii_masked')}) AS exact_hash FROM mainpipe_cleaned_v4",
     "quality_score": _SCORED + " SELECT doc_id, quality_score, subset, mixture_name FROM sc",
-    "subset": "SELECT doc_id, CASE WHEN unique_token_ratio >= 0.8 THEN 'high_quality' ELSE 'rest' END AS subset FROM mainpipe_cleaned_v4",
-    "model_quality": "SELECT doc_id, 0.5::DOUBLE AS model_q FROM mainpipe_cleaned_v4",
+    "subset": _SCORED + " SELECT doc_id, subset FROM sc",
+    "model_quality": f"""WITH t AS (SELECT doc_id, url, text_norm, {_tok('text_norm')} AS ws, least(1.0::DOUBLE, coalesce(len(regexp_extract_all(text_norm, '!')), 0) / 10.0::DOUBLE) AS x FROM mainpipe_cleaned_v2)
+SELECT doc_id, round(x, 9) AS toxicity, round(least(1.0::DOUBLE, length(text_norm) / 1000.0::DOUBLE), 9) AS model_q, coalesce(x >= 0.8 AND text_norm IS NOT NULL AND len(ws) BETWEEN 5 AND 5000
+AND length(regexp_replace(text_norm, '[^\\p{{L}}]', '', 'g'))::DOUBLE / length(text_norm) >= 0.5 AND 1.0::DOUBLE - len(list_distinct(ws))::DOUBLE / len(ws) <= 0.8
+AND NOT coalesce(regexp_matches(url, '/ads/|example-spam-site\\.com'), false) AND {_n('text_norm', _EMAIL)} + {_n('text_norm', _ROUGH)} <= 20, false) AS is_loud FROM t""",
     "text_fallback": f"SELECT v4.doc_id, {_FILLED.format('v2.text_norm')} AS text FROM mainpipe_cleaned_v4 AS v4 JOIN mainpipe_cleaned_v2 AS v2 USING (doc_id)",
     "pick_text": f"SELECT doc_id, coalesce(nullif({_trim('text_pii_masked')}, ''), nullif({_trim('text_deep_clean')}, ''), '') AS text FROM mainpipe_cleaned_v4",
-    "tokenise": """SELECT doc_id, coalesce(strlen(text_pii_masked), 0)::BIGINT AS n_tokens, coalesce(list_sum(list_transform(generate_series(1, strlen(text_pii_masked)), lambda i: ('0x' || substr(hex(text_pii_masked), (2 * i - 1)::INT, 2))::BIGINT)), 0)::BIGINT AS id_sum, true AS mask_fits,
+    "tokenise": """SELECT doc_id, coalesce(strlen(text_pii_masked), 0)::BIGINT AS n_tokens, md5(coalesce(array_to_string(list_transform(generate_series(1, strlen(text_pii_masked)), lambda i: ('0x' || substr(hex(text_pii_masked), (2 * i - 1)::INT, 2))::BIGINT), ' '), '')) AS ids_in_order, true AS mask_fits,
 CASE WHEN coalesce(strlen(text_pii_masked), 0) < 10 THEN 'too_few_tokens' WHEN strlen(text_pii_masked) > 2048 THEN 'too_many_tokens' END AS drop_reason FROM mainpipe_cleaned_v4""",
     "drop_reason_early": _PRE + " SELECT row_idx, coalesce(char_len, 0) AS char_len, word_count, drop_reason FROM pre",
     "drop_reason_lang": _LANG + " SELECT doc_id, lang_pred, drop_reason FROM r",
@@ -227,7 +261,8 @@ WHEN token_count >= 10 AND s > 0.95 THEN 'high_stopword_ratio' WHEN has_pii THEN
     "kept_dropped": _PRE + " SELECT row_idx, CASE WHEN drop_reason IS NULL THEN 'kept' ELSE 'dropped' END AS side FROM pre",
     "dropped_union": _QUALITY + " SELECT row_idx, drop_reason, word_count, -1::BIGINT AS n_words FROM pre WHERE drop_reason IS NOT NULL UNION ALL SELECT row_idx, drop_reason, -1, n_words FROM q WHERE drop_reason IS NOT NULL",
     "dedup_exact": _dedup(200, 500) + " SELECT doc_id, exact_hash, is_dup_exact FROM g",
-    "dedup_near": _dedup(50, 100) + " SELECT doc_id, is_dup_near, drop_reason FROM g",
+    "dedup_near": _dedup(200, 500) + " SELECT doc_id, near_key, is_dup_near, drop_reason FROM g",
+    "dedup_by_row_number": f"WITH c AS (SELECT row_idx, {_canon('text')} AS canon FROM mainpipe_ingested_v1), e AS (SELECT *, min(row_idx) OVER (PARTITION BY canon) AS fe, length(canon) >= 200 AS cand, min(row_idx) OVER (PARTITION BY substr(canon, 1, 500), length(canon) >= 200) AS fn FROM c) SELECT row_idx, row_idx::VARCHAR AS dedup_id, CASE WHEN row_idx <> fe THEN fe WHEN cand AND row_idx <> fn THEN fn END::VARCHAR AS dup_of FROM e",
     "dup_of": _dedup(200, 500) + " SELECT doc_id, doc_id AS dedup_id, dup_of, drop_reason FROM g",
     "dedup_summary": _dedup(200, 500) + " SELECT count(*) AS n_rows, count(*) FILTER (drop_reason IS NULL) AS kept, count(drop_reason) AS dropped, count(*) FILTER (is_dup_exact) AS exact_duplicates, count(*) FILTER (is_dup_near) AS near_duplicates FROM g",
     "drop_reason_counts": _PRE + " SELECT drop_reason, count(*) AS n FROM pre WHERE drop_reason IS NOT NULL GROUP BY 1",
@@ -244,7 +279,19 @@ WHEN token_count >= 10 AND s > 0.95 THEN 'high_stopword_ratio' WHEN has_pii THEN
     "pii_aggregate": """WITH u AS (SELECT v4.* FROM mainpipe_cleaned_v4 AS v4 UNION ALL SELECT v4.* FROM mainpipe_cleaned_v4 AS v4 WHERE doc_id IN (SELECT doc_id FROM mainpipe_cleaned_v5 WHERE drop_reason IS NOT NULL))
 SELECT sum(pii_email_hits)::BIGINT AS pii_email_hits, sum(pii_phone_hits)::BIGINT AS pii_phone_hits, sum(pii_cc_hits)::BIGINT AS pii_cc_hits, sum(pii_iban_hits)::BIGINT AS pii_iban_hits, count(*) FILTER (has_pii) AS rows_with_pii FROM u""",
     "pii_rows": "SELECT doc_id, pii_email_hits, pii_phone_hits, pii_cc_hits, pii_iban_hits, has_pii FROM mainpipe_cleaned_v4",
-    "pii_hit_hist": "SELECT pii_phone_hits, count(*) AS n FROM mainpipe_cleaned_v4 WHERE pii_phone_hits IS NOT NULL GROUP BY 1 ORDER BY n DESC, pii_phone_hits LIMIT 30",
+    "pii_hit_hist": " UNION ALL ".join(f"SELECT * FROM (SELECT '{c}' AS counter, {c} AS hits, count(*) AS n FROM mainpipe_cleaned_v4 WHERE {c} IS NOT NULL GROUP BY 2 ORDER BY n DESC, hits LIMIT 30)" for c in ("pii_email_hits", "pii_phone_hits", "pii_cc_hits", "pii_iban_hits")),
+    "csv_drop_counts": _PRE + " SELECT drop_reason, count(*) AS n FROM pre WHERE drop_reason IS NOT NULL GROUP BY 1",
+    "sink_kept_dropped": _PRE + " SELECT row_idx, drop_reason, CASE WHEN drop_reason IS NULL THEN 'kept' ELSE 'dropped' END AS side FROM pre",
+    "hist_quality_score": _SCORED + ", h AS (" + _hist("s", "q", 50).strip() + ") SELECT * FROM h",
+    "hist_n_tokens": "WITH b0 AS (SELECT coalesce(strlen(text_pii_masked), 0) AS n FROM mainpipe_cleaned_v4), h AS (" + _hist("b0", "n", 80).strip() + ") SELECT * FROM h",
+    "toy_shard": "SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_ids, least(count(*), 100) AS n_known, count(*) > 100 AS seeds_differ FROM documents",
+    "clean_and_filter": _RUN + " SELECT row_idx, coalesce(text_norm, text) AS text, reason AS drop_reason, early IS NULL AS lang_is_pred FROM cleaned",
+    "pipeline_reasons_bytes": _RUN + " SELECT row_idx, coalesce(reason, deep_reason, dup_reason, token_reason, 'kept') AS drop_reason FROM whole",
+    "stream_clean": _RUN + " SELECT row_idx, coalesce(reason, deep_reason) AS drop_reason FROM deepened",
+    "stream_window_counts": _PRE + " SELECT strftime(crawled_at, '%Y-%m-%d') AS day, coalesce(drop_reason, 'kept') AS reason, count(*) AS n FROM pre WHERE crawled_at IS NOT NULL GROUP BY ALL",
+    "metrics_report": _SCORED + f""", one AS ({_describe('s', 'q')}), p AS (SELECT sum(pii_email_hits)::DOUBLE AS pii_email_hits, sum(pii_phone_hits)::DOUBLE AS pii_phone_hits, sum(pii_cc_hits)::DOUBLE AS pii_cc_hits, sum(pii_iban_hits)::DOUBLE AS pii_iban_hits, (count(*) FILTER (has_pii))::DOUBLE AS rows_with_pii FROM mainpipe_cleaned_v4)
+SELECT 'quality_score' AS report, m AS metric, v AS value FROM (UNPIVOT (SELECT count::DOUBLE AS count, mean, std, min, p25, p50, p75, max FROM one) ON COLUMNS(*) INTO NAME m VALUE v)
+UNION ALL SELECT 'pii', m, v FROM (UNPIVOT p ON COLUMNS(*) INTO NAME m VALUE v) UNION ALL SELECT 'drop_reasons', drop_reason, n::DOUBLE FROM (""" + _PRE + " SELECT drop_reason, count(*) AS n FROM pre WHERE drop_reason IS NOT NULL GROUP BY 1)",
     "low_info_counts": _DEEP_TEXT + " SELECT count(*) FILTER (token_count >= 10 AND u < 0.2) AS low_unique, count(*) FILTER (token_count >= 10 AND stop > 0.95) AS high_stopword, count(*) FILTER (drop_reason = 'repetitive_token_spam') AS token_spam FROM dr",
     "toxicity_report": _QUALITY + " SELECT count(*) AS n_rows, count(*) FILTER (drop_reason = 'high_toxicity') AS toxic_dropped, count(*) FILTER (drop_reason IS NULL) AS remaining, round(count(*) FILTER (drop_reason = 'high_toxicity') * 100.0::DOUBLE / count(*), 6) AS toxic_pct FROM q",
     "language_report": _LANG + " SELECT count(*) AS n_rows, count(*) FILTER (drop_reason = 'non_english') AS non_english_dropped, count(*) FILTER (drop_reason IS NULL) AS remaining, round(count(*) FILTER (drop_reason = 'non_english') * 100.0::DOUBLE / count(*), 6) AS non_english_pct FROM r",
@@ -258,12 +305,12 @@ count(*) FILTER (gone > 0) AS docs_with_removals, count(*) FILTER (c <> z.b) AS
     "low_unique_examples": _DEEP_TEXT + " SELECT row_idx, token_count, round(u, 9) AS unique_token_ratio FROM dr WHERE token_count >= 10 AND u < 0.2 ORDER BY row_idx LIMIT 5",
     "shard_assign": f"SELECT doc_id, idx, (idx // 300 + 1)::BIGINT AS shard_id FROM ({_SHARDS})",
     "shard_manifest": f"WITH s AS (SELECT idx // 300 + 1 AS shard_id, n_tokens FROM ({_SHARDS})) SELECT shard_id::BIGINT AS shard_id, format('train_shard_{{:05d}}.jsonl', shard_id) AS filename, format('shards/train_shard_{{:05d}}.jsonl', shard_id) AS path, count(*) AS num_docs, sum(n_tokens)::BIGINT AS total_tokens FROM s GROUP BY shard_id",
-    "shard_files": "WITH s AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 300 + 1 AS shard_id, strlen(text) AS n FROM documents WHERE strlen(text) BETWEEN 10 AND 2048) SELECT shard_id::BIGINT AS shard_id, count(*) AS num_docs, sum(n)::BIGINT AS total_tokens FROM s GROUP BY 1",
+    "shard_files": f"WITH s AS (SELECT idx // 300 + 1 AS shard_id, n_tokens FROM ({_SHARDS})) SELECT shard_id::BIGINT AS shard_id, format('train_shard_{{:05d}}.jsonl', shard_id) AS filename, count(*) AS num_docs, sum(n_tokens)::BIGINT AS total_tokens FROM s GROUP BY shard_id",
     "jsonl_clean": "SELECT doc_id, text_norm AS text, source FROM mainpipe_cleaned_v2",
     "jsonl_text_fallback": "SELECT doc_id, coalesce(nullif(text_pii_masked, ''), text_deep_clean) AS text, source FROM mainpipe_cleaned_v4",
     "jsonl_tokenised": _SCORED + " SELECT doc_id, url, subset, strlen(text_pii_masked)::BIGINT AS n_tokens FROM sc WHERE strlen(text_pii_masked) BETWEEN 10 AND 2048",
     "jsonl_scored": _SCORED + f" SELECT doc_id, {_FILLED.format('text_norm')} AS text, source, quality_score, subset, mixture_name FROM sc",
     "export_text": _SCORED + f" SELECT * FROM (SELECT coalesce(nullif({_trim('text_pii_masked')}, ''), nullif({_trim('text_deep_clean')}, ''), nullif({_trim('text_norm')}, ''), '') AS text, doc_id, source, url, subset, mixture_name, quality_score FROM sc) WHERE text <> ''",
     "stream_reason_counts": _PRE + " SELECT coalesce(drop_reason, 'kept') AS reason, count(*) AS n FROM pre GROUP BY 1",
-    "stream_dedup": f"SELECT count(DISTINCT {_canon('text')}) AS n FROM documents WHERE crawled_at IS NOT NULL",
+    "stream_dedup": f"SELECT DISTINCT sha256({_canon('text')}) AS exact_hash FROM documents",
 }

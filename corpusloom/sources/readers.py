@@ -22,13 +22,13 @@ def jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW, compressio
     return (reader.option("compression", compression) if compression else reader).json(path)
 
 
-def jsonl_typed(spark: SparkSession, path: str) -> DataFrame:
-    """``url, text, text_kind``: the kind of the raw value (STRING, BIGINT, VOID for null, null where the key is absent or
+def jsonl_typed(spark: SparkSession, path: str, **more: str) -> DataFrame:
+    """``url, text, text_kind`` and further fields by name and type: the kind of the raw value (STRING, BIGINT, VOID for null, null where the key is absent or
     the line is no JSON), so that numbers can be told from texts."""
     v = F.try_parse_json("value")
     rows = spark.read.text(path).select(v.alias("v"))
     get = lambda k, t: F.expr(f"try_variant_get(v, '$.{k}', '{t}')")
-    return rows.select(get("url", "string").alias("url"), get("text", "string").alias("text"), F.expr("regexp_extract(schema_of_variant(variant_get(v, '$.text')), '^[A-Z]+', 0)").alias("text_kind"))
+    return rows.select(*[get(k, t).alias(k) for k, t in more.items()], get("url", "string").alias("url"), get("text", "string").alias("text"), F.expr("regexp_extract(schema_of_variant(variant_get(v, '$.text')), '^[A-Z]+', 0)").alias("text_kind"))
 
 
 def parquet(spark: SparkSession, path: str, *required: str) -> DataFrame:

@@ -109,3 +109,11 @@ def test_toxicity_language_tokens(spark):
     lang = one(spark, ["the cat is on the mat", "der Hund ist nicht hier und das ist gut", "le chat est dans la rue", "el perro es muy bueno", "il cane non è della casa", "het huis is van de man en niet", "12 34", None], langid.lexical("t").alias("l"))
     assert [r[0]["lang"] for r in lang] == ["en", "de", "fr", "es", "it", "nl", "unk", "unk"]
     assert one(spark, ["aé", "", None], tokenizer.byte_level("t")) == [([97, 195, 169],), ([],), ([],)]
+
+
+def test_bpe_ids_in_order(spark):
+    """Ids that the public vocabulary is known to give."""
+    want = {"hello world": [31373, 995], "Hello, world!": [15496, 11, 995, 0], "": [], " the": [262]}
+    ids = tokenizer.bpe(spark, tokenizer.VOCABULARY)
+    df = spark.createDataFrame([(t,) for t in want] + [(None,)], "t string").withColumn("ids", ids("t"))
+    assert {r["t"]: r["ids"] for r in df.collect()} == {**want, None: []}

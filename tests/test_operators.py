@@ -127,6 +127,11 @@ def test_sources_and_sinks(spark, tmp_path):
     assert readers.head_lines(spark, p, 2).count() == 2
     docs = stages.tokenise(frame(spark, [DAY, DAY + "!", "üö 東京 " * 5]).withColumnsRenamed({"text": "text_pii_masked", "row_idx": "doc_id"}), tokenizer.byte_level)
     m = sinks.write_shards(docs, str(tmp_path / "shards"), "doc_id", Config(docs_per_shard=2))
+    assert sorted(p.name for p in (tmp_path / "shards").iterdir() if not p.name.startswith((".", "_"))) == ["train_shard_00001.jsonl", "train_shard_00002.jsonl", "train_shard_manifest.json"]
+    for s in m["shards"]:  # the files of the manifest are there and hold what it says
+        lines = [json.loads(x) for x in open(s["path"])]
+        assert len(lines) == s["num_docs"] and sum(len(x["input_ids"]) for x in lines) == s["total_tokens"] and set(lines[0]) >= {"input_ids", "attention_mask", "doc_id"}
+    assert json.loads((tmp_path / "shards" / "train_shard_manifest.json").read_text()) == m and m["created_at_utc"]
     assert (m["num_shards"], m["total_docs"]) == (2, 3) and m["total_tokens"] == sum(s["total_tokens"] for s in m["shards"])
     sinks.write_metrics(m, str(tmp_path / "m.json"))
     assert json.loads((tmp_path / "m.json").read_text())["num_shards"] == 2
@@ -213,3 +218,58 @@ def test_scratch_deletes_intermediate_tables(spark):
         session.release(gone)
         assert gone._corpusloom_path not in session._OPEN and kept._corpusloom_path in session._OPEN
     assert kept._corpusloom_path not in session._OPEN
+
+
+def test_quantiles(spark):
+    import numpy as np
+
+    for values in ([1.0], [2.0, 1.0], [3.0, 1.0, 1.0, 8.0], list(np.random.default_rng(1).normal(size=501).round(2))):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
+        want = np.quantile(values, [0, 0.25, 0.5, 0.75, 1])
+        assert metrics.quantiles(df, "x", [0, 0.25, 0.5, 0.75, 1]) == pytest.approx(list(want))
+    assert metrics.quantiles(df.where("false"), "x", [0.5]) == [None]
+
+
+def test_models_can_be_plugged_in(spark):
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def vowels(t: pd.Series) -> pd.Series:
+        return t.str.count("[aeiou]") / t.str.len()
+
+    mean = lambda t: F.struct(F.when(t.contains("mean"), 1.0).otherwise(0.0).alias("toxicity"), *[F.lit(0.0).alias(c) for c in ("severe_toxicity", "insult", "threat", "identity_attack", "sexual_explicit")])
+    out = pipeline.run(frame(spark, [DAY + " and it is mean of all", DAY + " and it is the best of all"]), Config(min_lang_score=0.5), toxicity_model=mean, quality_model=vowels)
+    rows = {r["row_idx"]: r for r in out["cleaned"].collect()}
+    assert sorted(str(r["drop_reason"]) for r in rows.values()) == ["None", "high_toxicity"] and all(0.1 < r["model_q"] < 0.6 for r in rows.values())
+    with pytest.raises(ValueError, match="severe_toxicity"):
+        stages.quality(spark.createDataFrame([("a b c d e",)], "text_norm string"), toxicity_model=lambda t: F.struct(F.lit(0.0).alias("toxicity")))
+
+
+def test_late_copies_in_a_stream(spark, tmp_path):
+    """Within the delay later copies are dropped; a copy that comes after it is a first one again, and rows behind the watermark go."""
+    import os
+
+    files = [[("a", "2025-01-01 00:00:00")], [("A ", "2025-01-01 06:00:00"), ("b", "2025-01-04 00:00:00")], [("d", "2025-01-04 01:00:00")], [("c", "2025-01-01 00:00:00"), ("a", "2025-01-04 02:00:00")]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, "text string, at string").withColumn("at", F.to_timestamp("at")).coalesce(1).write.parquet(str(tmp_path / f"w{i}"))
+        (tmp_path / "in").mkdir(exist_ok=True)
+        part = next((tmp_path / f"w{i}").glob("part-*"))
+        os.rename(part, tmp_path / "in" / f"{i}.parquet")
+        os.utime(tmp_path / "in" / f"{i}.parquet", (1000 + i, 1000 + i))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    out = []
+    stream.drain(stream.dedup_exact(stream.read_parquet(spark, str(tmp_path / "in"), schema, 1), "text", "at", "1 day"), lambda b, i: out.extend((r["text"], str(r["at"])) for r in b.collect()), str(tmp_path / "c"))
+    assert sorted(out) == [("a", "2025-01-01 00:00:00"), ("a", "2025-01-04 02:00:00"), ("b", "2025-01-04 00:00:00"), ("d", "2025-01-04 01:00:00")]
+
+
+def test_charts(spark, tmp_path):
+    df = spark.range(100).withColumn("x", F.col("id") % 7)
+    sinks.bar_chart(metrics.value_counts(df, "x"), "x", "count", str(tmp_path / "bars.png"))
+    sinks.histogram_chart(metrics.histogram(df, "id", 10), str(tmp_path / "hist.png"), 10)
+    assert all((tmp_path / f"{n}.png").read_bytes()[:8] == b"\x89PNG\r\n\x1a\n" for n in ("bars", "hist"))
+
+
+def test_stages_are_logged(spark, caplog):
+    with caplog.at_level("INFO", logger="corpusloom"):
+        pipeline.run(frame(spark, [DAY]), Config(min_lang_score=0.5))
+    assert [r.getMessage() for r in caplog.records if "begins" in r.getMessage()] == [f"stage {n} begins" for n in ("clean and filter", "deep clean", "deduplicate", "tokenise")]
