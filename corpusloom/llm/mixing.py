@@ -125,3 +125,14 @@ def p7_mixture(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
 def p7_shares(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     targets = table(spark, sf_dir, "mixture_targets")
     return shares(mix(_items(spark, sf_dir, vocabulary), targets), targets)
+
+
+def p7_checks(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """What every mixture must keep, for each target: no record more often than allowed, all of the source, and copies
+    numbered from 1 without gaps. Targets without a record keep it all."""
+    items, targets = _items(spark, sf_dir, vocabulary), table(spark, sf_dir, "mixture_targets")
+    m = mix(items, targets).groupBy("mixture_name", "source", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("copy_no").alias("most"))
+    m = m.join(items.select("doc_id", F.col("source").alias("own")), "doc_id", "left")
+    per = m.groupBy("mixture_name", "source").agg(F.max("most").alias("most"), F.bool_and(F.col("own") == F.col("source")).alias("known"), F.bool_and(F.col("n") == F.col("most")).alias("numbered"))
+    out = targets.join(per, ["mixture_name", "source"], "left")
+    return out.select("mixture_name", "source", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_repeats"), F.coalesce("known", F.lit(True)).alias("all_known"), F.coalesce("numbered", F.lit(True)).alias("copies_numbered"))

@@ -179,3 +179,16 @@ def p6_fill(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> D
     per = a.groupBy("pack_id", "capacity_tokens", "container_id").agg(F.sum("n_tokens").alias("used"), F.count_if(F.col("piece_no") == 1).alias("cut"))
     out = per.groupBy("pack_id", "capacity_tokens").agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"), F.sum("cut").alias("texts_cut"))
     return out.withColumn("fill_ratio", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6))
+
+
+def p6_checks(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """What every packing must keep, for each capacity: all documents are there; containers above the capacity, documents
+    that were cut though they fit, and documents whose pieces do not add up without gaps to their tokens are none."""
+    items = durable(with_tokens(table(spark, sf_dir, "documents"), ["doc_id"], vocabulary=vocabulary))
+    a = durable(assign(items, table(spark, sf_dir, "pack_sizes")))
+    key = ["pack_id", "capacity_tokens"]
+    room = a.groupBy(*key, "container_id").agg(F.sum("n_tokens").alias("used")).groupBy(*key).agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("over_full"))
+    doc = a.groupBy(*key, "doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("n_tokens").alias("sum"), F.max(F.col("start_token") + F.col("n_tokens")).alias("end"), F.max("piece_no").alias("last"))
+    whole = (F.col("sum") == F.col("n_tokens")) & (F.col("end") == F.col("n_tokens")) & (F.col("last") == F.col("pieces") - 1)
+    doc = doc.join(items, "doc_id").groupBy(*key).agg(F.count(F.lit(1)).alias("n_docs"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= F.col("capacity_tokens"))).alias("cut_needlessly"), F.count_if(~whole).alias("not_whole"))
+    return doc.join(room, key).select(*key, "n_docs", "over_full", "cut_needlessly", "not_whole")

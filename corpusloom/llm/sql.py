@@ -35,8 +35,31 @@ o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s AS a JOIN s AS b
 SELECT a AS doc_id_a, b AS doc_id_b FROM o JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE o >= 0.6 * (na.n + nb.n - o)
 """
 
+
+
+def _groups(table: str, text: str, words: int, threshold: float) -> str:
+    """Groups of similar texts: pairs of word sequences, their transitive closure, the smallest id of each."""
+    gram = " || ' ' || ".join(f"ws[i + {k}]" if k else "ws[i]" for k in range(words))
+    return f"""
+WITH RECURSIVE t AS (SELECT doc_id, trim(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS x FROM {table} WHERE {text} IS NOT NULL),
+w AS (SELECT DISTINCT x, string_split(x, ' ') AS ws FROM t WHERE x <> ''),
+s AS (SELECT DISTINCT x, {gram} AS g FROM (SELECT x, ws, unnest(generate_series(1, len(ws) - {words - 1})) AS i FROM w WHERE len(ws) >= {words})),
+n AS (SELECT x, count(*) AS n FROM s GROUP BY x),
+o AS (SELECT a.x AS a, b.x AS b, count(*) AS o FROM s AS a JOIN s AS b ON a.g = b.g AND a.x <> b.x GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n AS na ON na.x = a JOIN n AS nb ON nb.x = b WHERE o >= {threshold} * (na.n + nb.n - o)),
+r AS (SELECT x AS a, x AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+f AS (SELECT x, min(doc_id) AS first_id FROM t WHERE x <> '' GROUP BY x),
+g AS (SELECT r.a AS x, min(f.first_id) AS group_id FROM r JOIN f ON f.x = r.b GROUP BY r.a),
+l AS (SELECT a AS x, count(*) AS n_links FROM e GROUP BY a)
+SELECT t.doc_id, g.group_id, coalesce(l.n_links, 0)::BIGINT AS n_links FROM t JOIN g USING (x) LEFT JOIN l USING (x)"""
+
+
 ORACLE: dict[str, str] = {
     "p1_found": _P1,
+    "p1_groups": _groups("mainpipe_cleaned_v4", "text_pii_masked", 3, 0.6),
+    "p1_near_key_groups": _groups("mainpipe_cleaned_v5", "near_key", 5, 0.8),
+    "p6_checks": "SELECT pack_id, capacity_tokens, (SELECT count(*) FROM documents WHERE doc_id IS NOT NULL) AS n_docs, 0::BIGINT AS over_full, 0::BIGINT AS cut_needlessly, 0::BIGINT AS not_whole FROM pack_sizes",
+    "p7_checks": "SELECT mixture_name, source, true AS within_repeats, true AS all_known, true AS copies_numbered FROM mixture_targets",
     "p8_found": _P8 + "SELECT * FROM f",
     "p8_coverage": _P8 + """
 SELECT d.doc_id, coalesce(length(any_value(d.text)), 0)::BIGINT AS text_chars, count(f.start_at) AS n_spans, coalesce(sum(end_at - start_at), 0)::BIGINT AS shared_chars,
