@@ -139,13 +139,25 @@ def toxicity_scores(spark, d):
     return rounded(out, *[c for c in out.columns if c != "doc_id"])
 
 
+#: A lexicon of one's own: words that the test tables hold.
+OWN_LEXICON = {"profanity": ("kettle", "lantern"), "insult": ("mayor", "tenant", "bürgermeister"), "threat": ("bridge", "puente"), "sexual_explicit": ("museum",), "identity_attack": ("the", "der")}
+
+
 @query
 def toxicity_lexicon(spark, d):
-    """The heuristic over the lexicon as a table: words of each text that are in it, by category."""
-    lex = {r["category"]: tuple(sorted(r["terms"])) for r in toxicity.lexicon_table(spark).groupBy("category").agg(F.collect_set("term").alias("terms")).collect()}
-    words = [t for ts in lex.values() for t in ts]
+    """The heuristic over a lexicon of one's own."""
+    own = table(spark, d, V2).select("doc_id", toxicity.toxicity("text_norm", OWN_LEXICON).alias("s")).select("doc_id", "s.*")
+    return rounded(own, *toxicity.SCORES)
+
+
+@query
+def toxicity_terms(spark, d):
+    """How often each term of the built-in lexicon occurs, those that never do included."""
+    lex = toxicity.lexicon_table(spark)
+    words = [t for ts in toxicity.LEXICON.values() for t in ts]
     tok = F.regexp_extract_all(F.lower("text"), F.lit(toxicity.WORD), F.lit(0))
-    return table(spark, d, DOCS).select(F.explode(F.filter(tok, lambda x: x.isin(words))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    n = table(spark, d, DOCS).select(F.explode(F.filter(tok, lambda x: x.isin(words))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return lex.join(n, "term", "left").select("category", "term", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 @query
@@ -355,6 +367,13 @@ def dedup_by_row_number(spark, d):
     return dedup.deduplicate(raw, order="row_idx").select("row_idx", "dedup_id", "dup_of")
 
 
+@query
+def dedup_columns(spark, d):
+    """What a deduplicated frame holds: its input, the stage's columns, and no helper."""
+    out = _dedup(spark, d)
+    return spark.createDataFrame([(c, t) for c, t in out.dtypes], "column_name string, column_type string")
+
+
 @query
 def dup_of(spark, d):
     return _dedup(spark, d).select("doc_id", "dedup_id", "dup_of", "drop_reason")
@@ -591,7 +610,7 @@ def jsonl_tokenised_bpe(spark, d):
 
 def _tokenised(spark, d, encode):
     out = stages.tokenise(_scored(spark, d), encode)
-    return _parsed(sinks.tokenised_records(rules.kept(out), attention_mask=False)).select("doc_id", "url", "subset", F.size("input_ids").cast("bigint").alias("n_tokens"))
+    return _parsed(sinks.tokenised_records(rules.kept(out), attention_mask=False)).select("doc_id", "url", "subset", F.size("input_ids").cast("bigint").alias("n_tokens"), F.md5(F.array_join("input_ids", " ")).alias("ids_in_order"))
 
 
 @query

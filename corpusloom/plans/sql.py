@@ -99,14 +99,15 @@ pre AS (SELECT *, CASE
   WHEN char_len > 100000 THEN 'too_long' END AS drop_reason FROM m)"""
 
 
-def _tox(x: str) -> str:
-    every = _in(w for v in _BAD.values() for w in v.split())
+def _tox(x: str, bad: dict[str, str] = _BAD) -> tuple[str, str, dict[str, str]]:
+    every = _in(w for v in bad.values() for w in v.split())
     tok = rf"regexp_extract_all(lower(coalesce({x}, '')), '[\p{{L}}\p{{N}}_]+')"
     one = lambda ws: f"least(1.0::DOUBLE, len(list_filter(tk, lambda w: w IN ({ws})))::DOUBLE / greatest(len(tk), 1) * 5)"
-    return tok, one(every), {k: one(_in(v.split())) for k, v in _BAD.items()}
+    return tok, one(every), {k: one(_in(v.split())) for k, v in bad.items()}
 
 
 _TOK, _TOX_ALL, _TOX = _tox("text_norm")
+_, _OWN_ALL, _OWN = _tox("text_norm", {"profanity": "kettle lantern", "insult": "mayor tenant bürgermeister", "threat": "bridge puente", "sexual_explicit": "museum", "identity_attack": "the der"})
 _QUALITY = (
     _PRE
     + f""",
@@ -224,7 +225,11 @@ SELECT doc_id, CASE WHEN a > 0 THEN round((a - b)::DOUBLE / a, 9) ELSE 0 END AS
     "toxicity_scores": f"WITH t AS (SELECT doc_id, {_TOK} AS tk FROM mainpipe_cleaned_v2) SELECT doc_id, round({_TOX_ALL}, 9) AS toxicity, CASE WHEN {_TOX_ALL} >= 0.9 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS severe_toxicity, "
     + ", ".join(f"round({_TOX[k]}, 9) AS {k}" for k in ("insult", "threat", "identity_attack", "sexual_explicit"))
     + " FROM t",
-    "toxicity_lexicon": f"WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS term FROM documents) SELECT term, count(*) AS n FROM t WHERE term IN ({_in(w for v in _BAD.values() for w in v.split())}) GROUP BY 1",
+    "toxicity_lexicon": f"WITH t AS (SELECT doc_id, {_TOK} AS tk FROM mainpipe_cleaned_v2) SELECT doc_id, round({_OWN_ALL}, 9) AS toxicity, CASE WHEN {_OWN_ALL} >= 0.9 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS severe_toxicity, "
+    + ", ".join(f"round({_OWN[k]}, 9) AS {k}" for k in ("insult", "threat", "identity_attack", "sexual_explicit")) + " FROM t",
+    "toxicity_terms": f"WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS term FROM documents), n AS (SELECT term, count(*) AS n FROM t GROUP BY 1) SELECT category, x.term, coalesce(n, 0) AS n FROM (VALUES "
+    + ", ".join(f"('{c}', '{w}')" for c, ws in _BAD.items() for w in ws.split()) + ") AS x(category, term) LEFT JOIN n ON n.term = x.term",
+    "dedup_columns": "SELECT * FROM (VALUES ('doc_id', 'string'), ('text_pii_masked', 'string'), ('dedup_id', 'string'), ('exact_canon_text', 'string'), ('exact_hash', 'string'), ('near_key', 'string'), ('drop_reason', 'string'), ('is_dup_exact', 'boolean'), ('is_dup_near', 'boolean'), ('dup_of', 'string')) AS t(column_name, column_type)",
     "lang_detect": _LANG + " SELECT doc_id, lang_pred, round(lang_score, 9) AS lang_score FROM l",
     "strip_html": "SELECT row_idx, regexp_replace(text, '<[^>]+>', ' ', 'g') AS text FROM mainpipe_ingested_v1",
     "boilerplate": f"SELECT doc_id, {_boiler('text_deep_clean')} AS text FROM mainpipe_cleaned_v4",
@@ -308,7 +313,7 @@ count(*) FILTER (gone > 0) AS docs_with_removals, count(*) FILTER (c <> z.b) AS
     "shard_files": f"WITH s AS (SELECT idx // 300 + 1 AS shard_id, n_tokens FROM ({_SHARDS})) SELECT shard_id::BIGINT AS shard_id, format('train_shard_{{:05d}}.jsonl', shard_id) AS filename, count(*) AS num_docs, sum(n_tokens)::BIGINT AS total_tokens FROM s GROUP BY shard_id",
     "jsonl_clean": "SELECT doc_id, text_norm AS text, source FROM mainpipe_cleaned_v2",
     "jsonl_text_fallback": "SELECT doc_id, coalesce(nullif(text_pii_masked, ''), text_deep_clean) AS text, source FROM mainpipe_cleaned_v4",
-    "jsonl_tokenised": _SCORED + " SELECT doc_id, url, subset, strlen(text_pii_masked)::BIGINT AS n_tokens FROM sc WHERE strlen(text_pii_masked) BETWEEN 10 AND 2048",
+    "jsonl_tokenised": _SCORED + " SELECT doc_id, url, subset, strlen(text_pii_masked)::BIGINT AS n_tokens, md5(coalesce(array_to_string(list_transform(generate_series(1, strlen(text_pii_masked)), lambda i: ('0x' || substr(hex(text_pii_masked), (2 * i - 1)::INT, 2))::BIGINT), ' '), '')) AS ids_in_order FROM sc WHERE strlen(text_pii_masked) BETWEEN 10 AND 2048",
     "jsonl_scored": _SCORED + f" SELECT doc_id, {_FILLED.format('text_norm')} AS text, source, quality_score, subset, mixture_name FROM sc",
     "export_text": _SCORED + f" SELECT * FROM (SELECT coalesce(nullif({_trim('text_pii_masked')}, ''), nullif({_trim('text_deep_clean')}, ''), nullif({_trim('text_norm')}, ''), '') AS text, doc_id, source, url, subset, mixture_name, quality_score FROM sc) WHERE text <> ''",
     "stream_reason_counts": _PRE + " SELECT coalesce(drop_reason, 'kept') AS reason, count(*) AS n FROM pre GROUP BY 1",
