@@ -7,7 +7,8 @@ No list of words or phrases is built in; what furniture looks like is learned fr
    surge may be a title and is no evidence.
 2. *Evidence.* Over all pages, the words and word pairs outside the cores are counted, and those inside. Their
    logarithmic odds tell text that stands outside cores (menus, notices, footers) from text that stands in them. The counts
-   are kept in a table of fixed size, by hash.
+   are kept in a table of fixed size, by hash. A second round counts the lines that the first one finds against all others,
+   so that titles and lists outside cores speak for text.
 3. *Own text.* A line whose odds are above ``OUTSIDE`` has no text of its own. The lengths of own text are summed over
    the windows again. Runs of windows with text in which the sum reaches ``SURGE`` run from a surge to a dive; from their
    first to their last line with own text, lines belong to the page. Lines without own text open a gap in them if their
@@ -39,7 +40,9 @@ RAW_SURGE, SURGE = 150, 60
 #: Logarithmic odds from which a line outside, or between, surge and dive has no text of its own; twice that for items.
 OUTSIDE, INSIDE = 0.85, 0.95
 #: Occurrences of a feature below which it says nothing, and those that are added inside and, in proportion, outside.
-SEEN, PRIOR = 5, 20
+SEEN, PRIOR = 5, 10
+#: Rounds of counting: the first by cores, the next by the lines found so far, titles and lists outside cores among the others.
+ROUNDS = 2
 #: Cells of the tables of counts; a byte of each is sent to the executors: 2 MB.
 CELLS = 1 << 21
 _SEGMENT = 1 << 16
@@ -228,9 +231,8 @@ def _blocks(marked: np.ndarray, page: np.ndarray) -> np.ndarray:
     return marked & (window_sums(window_sums(marked, page) >= WINDOW, page) > 0)
 
 
-def judge(pages: list[str], model: Evidence) -> tuple[np.ndarray, np.ndarray]:
-    """(page, line number) of the furniture of some plain pages."""
-    x = lines_of(pages)
+def furnished(x: Lines, pages: list[str], model: Evidence) -> np.ndarray:
+    """Which lines of some plain pages are furniture."""
     odds, known = model.of_lines(x)
     texts = [p.split("\n") for p in pages]
     line = lambda k: texts[x.page[k]][x.no[k] - 1].strip()
@@ -260,6 +262,13 @@ def judge(pages: list[str], model: Evidence) -> tuple[np.ndarray, np.ndarray]:
     if found.any():  # a telephone or other number alone is no link
         k = np.flatnonzero(found)
         found[k[[sum(c.isdigit() for c in line(i)) >= 7 and sum(c.isalpha() for c in line(i)) <= 3 for i in k]]] = False
+    return found
+
+
+def judge(pages: list[str], model: Evidence) -> tuple[np.ndarray, np.ndarray]:
+    """(page, line number) of the furniture of some plain pages."""
+    x = lines_of(pages)
+    found = furnished(x, pages, model)
     return x.page[found], x.no[found]
 
 
@@ -301,21 +310,28 @@ def _parts(texts: list[str]):
     return zip(st, [*st[1:], len(texts)])
 
 
-def _counts(frames):
-    """One task's counts outside and inside cores, in compressed segments; the last segment counts sentences."""
-    n, sentences = np.zeros((2, CELLS), dtype=np.uint32), np.zeros(_SEGMENT, dtype=np.uint32)
-    for f in frames:
-        texts = f["text"].tolist()
-        for lo, hi in _parts(texts):
-            x = lines_of([plain(t) for t in texts[lo:hi]])
-            zone = cores(x)
-            for i, z in enumerate((-1, 1)):
-                cells, c = np.unique(x.cell[zone[x.at] == z], return_counts=True)
-                n[i, cells] += c.astype(np.uint32)
-                sentences[i] += x.sentences[zone == z].sum()
-    n = np.concatenate([n.reshape(-1, _SEGMENT), sentences[None]])
-    some = np.flatnonzero(n.any(axis=1))
-    yield pd.DataFrame({"segment": some, "body": [zlib.compress(n[i].tobytes(), 1) for i in some]})
+def _counts(before):
+    """One task's counts outside and inside cores, or of furniture and other lines by what was learned before, in compressed
+    segments; the last segment counts sentences."""
+
+    def run(frames):
+        model = before and Evidence(before.value)
+        n, sentences = np.zeros((2, CELLS), dtype=np.uint32), np.zeros(_SEGMENT, dtype=np.uint32)
+        for f in frames:
+            texts = f["text"].tolist()
+            for lo, hi in _parts(texts):
+                pages = [plain(t) for t in texts[lo:hi]]
+                x = lines_of(pages)
+                zone = np.where(furnished(x, pages, model), -1, 1) if model else cores(x)
+                for i, z in enumerate((-1, 1)):
+                    cells, c = np.unique(x.cell[zone[x.at] == z], return_counts=True)
+                    n[i, cells] += c.astype(np.uint32)
+                    sentences[i] += x.sentences[zone == z].sum()
+        n = np.concatenate([n.reshape(-1, _SEGMENT), sentences[None]])
+        some = np.flatnonzero(n.any(axis=1))
+        yield pd.DataFrame({"segment": some, "body": [zlib.compress(n[i].tobytes(), 1) for i in some]})
+
+    return run
 
 
 def _add(bodies):
@@ -330,14 +346,21 @@ def _pages(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
 
 
-def learn(df: DataFrame, text_col: str = "text_deep_clean") -> Evidence:
-    """What stands outside and inside the cores of all pages of ``df``."""
+def learn(df: DataFrame, text_col: str = "text_deep_clean", rounds: int = ROUNDS) -> Evidence:
+    """What stands outside and inside the cores of all pages of ``df``; later rounds count by the lines found before."""
     ship(df.sparkSession)
-    parts = df.select(F.col(text_col).alias("text")).where("text is not null and text <> ''").mapInPandas(_counts, "segment int, body binary")
-    n = np.zeros((2 * CELLS // _SEGMENT + 1, _SEGMENT))
-    for r in fold_segments(parts, _add).toLocalIterator():  # 2 CELLS numbers, however many pages
-        n[r["segment"]] = np.frombuffer(zlib.decompress(r["body"]), dtype=np.uint32)
-    return Evidence.of(*n[:-1].reshape(2, CELLS), n[-1, :2])
+    texts = df.select(F.col(text_col).alias("text")).where("text is not null and text <> ''")
+    model = None
+    for _ in range(rounds):
+        sent = df.sparkSession.sparkContext.broadcast(model.odds) if model else None  # CELLS bytes
+        parts = texts.mapInPandas(_counts(sent), "segment int, body binary")
+        n = np.zeros((2 * CELLS // _SEGMENT + 1, _SEGMENT))
+        for r in fold_segments(parts, _add).toLocalIterator():  # 2 CELLS numbers, however many pages
+            n[r["segment"]] = np.frombuffer(zlib.decompress(r["body"]), dtype=np.uint32)
+        model = Evidence.of(*n[:-1].reshape(2, CELLS), n[-1, :2])
+        if model.odds is None:
+            break
+    return model
 
 
 def furniture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text_deep_clean", model: Evidence | None = None) -> DataFrame:
