@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrays import Rolling, codes, mix, runs
-from corpusloom.llm.trees import fold_segments
+from corpusloom.llm.trees import KIND, SEGMENT, counted, cut_counts
 from corpusloom.session import ship, table
 
 WINDOW = 3
@@ -45,7 +44,6 @@ SEEN, PRIOR = 5, 10
 ROUNDS = 2
 #: Cells of the tables of counts; a byte of each is sent to the executors: 2 MB.
 CELLS = 1 << 21
-_SEGMENT = 1 << 16
 _CHARS = 1 << 20
 _UNKNOWN, _STEP = -128, 16
 
@@ -316,7 +314,7 @@ def _counts(before):
 
     def run(frames):
         model = before and Evidence(before.value)
-        n, sentences = np.zeros((2, CELLS), dtype=np.uint32), np.zeros(_SEGMENT, dtype=np.uint32)
+        n, sentences = np.zeros((2, CELLS), dtype=np.uint32), np.zeros(SEGMENT, dtype=np.uint32)
         for f in frames:
             texts = f["text"].tolist()
             for lo, hi in _parts(texts):
@@ -327,19 +325,14 @@ def _counts(before):
                     cells, c = np.unique(x.cell[zone[x.at] == z], return_counts=True)
                     n[i, cells] += c.astype(np.uint32)
                     sentences[i] += x.sentences[zone == z].sum()
-        n = np.concatenate([n.reshape(-1, _SEGMENT), sentences[None]])
-        some = np.flatnonzero(n.any(axis=1))
-        yield pd.DataFrame({"segment": some, "body": [zlib.compress(n[i].tobytes(), 1) for i in some]})
+        yield cut_counts(np.concatenate([n.ravel(), sentences]))
 
     return run
 
 
-def _add(bodies):
-    n = np.zeros(_SEGMENT, dtype=np.uint64)
-    for b in bodies:
-        x = np.frombuffer(zlib.decompress(b), dtype=np.uint32)
-        n += x
-    return zlib.compress(np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
+def _evidence(n: np.ndarray) -> Evidence:
+    """From all tasks' counts, one after the other."""
+    return Evidence.of(*n[: 2 * CELLS].reshape(2, CELLS), n[2 * CELLS : 2 * CELLS + 2])
 
 
 def _pages(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -353,11 +346,7 @@ def learn(df: DataFrame, text_col: str = "text_deep_clean", rounds: int = ROUNDS
     model = None
     for _ in range(rounds):
         sent = df.sparkSession.sparkContext.broadcast(model.odds) if model else None  # CELLS bytes
-        parts = texts.mapInPandas(_counts(sent), "segment int, body binary")
-        n = np.zeros((2 * CELLS // _SEGMENT + 1, _SEGMENT))
-        for r in fold_segments(parts, _add).toLocalIterator():  # 2 CELLS numbers, however many pages
-            n[r["segment"]] = np.frombuffer(zlib.decompress(r["body"]), dtype=np.uint32)
-        model = Evidence.of(*n[:-1].reshape(2, CELLS), n[-1, :2])
+        model = _evidence(counted(texts.mapInPandas(_counts(sent), KIND), 2 * CELLS + SEGMENT))
         if model.odds is None:
             break
     return model

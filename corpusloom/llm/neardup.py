@@ -23,7 +23,6 @@ the sets. Sets of sizes a and b with a Jaccard similarity of at least t differ i
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.arrays import Rolling, codes, mix, pack, runs, unpack
-from corpusloom.llm.trees import fold_segments
+from corpusloom.llm.trees import KIND, counted, cut_counts
 from corpusloom.session import durable, release, ship, table
 
 #: Sets that share one key beyond which they are paired tile by tile.
@@ -42,7 +41,6 @@ SPREAD = 1 << 16
 BLOCK_KEYS = 2_500_000
 #: Cells of the table of counts. One byte each is sent to the executors: 4 MB.
 CELLS = 1 << 22
-_SEGMENT = 1 << 16
 _CHARS = 1 << 20
 #: Entries that a task gathers before it cuts them into blocks.
 _GATHER = 1_000_000
@@ -131,32 +129,18 @@ def _counts(shingle: int):
         for (words,) in _batches(frames, ["words"]):
             cells, c = np.unique(_cell(_shingles(words.tolist(), shingle)[0]), return_counts=True)
             n[cells] += c.astype(np.uint32)
-        n = n.reshape(-1, _SEGMENT)
-        some = np.flatnonzero(n.any(axis=1))
-        yield pd.DataFrame({"segment": some, "body": [zlib.compress(n[i].tobytes(), 1) for i in some]})
+        yield cut_counts(n)
 
     return run
 
 
-def _add(bodies):
-    n = np.zeros(_SEGMENT, dtype=np.uint64)
-    for b in bodies:
-        x = np.frombuffer(zlib.decompress(b), dtype=np.uint32)
-        n += x
-    return zlib.compress(np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
-
-
 def rarity(reps: DataFrame, shingle: int) -> np.ndarray:
     """For each cell a byte: 0 for no more than twice the mean load, else the binary logarithm of what is above the mean.
 
     All shingles of all texts are counted. The load is what unrelated shingles in the same cell add, so a cell's byte tells
     frequent shingles from others however large the collection is.
     """
-    parts = reps.select("words").mapInPandas(_counts(shingle), "segment int, body binary")
-    n = np.zeros((CELLS // _SEGMENT, _SEGMENT), dtype=np.float64)
-    for r in fold_segments(parts, _add).toLocalIterator():  # CELLS numbers, however large the collection
-        n[r["segment"]] = np.frombuffer(zlib.decompress(r["body"]), dtype=np.uint32)
-    n = n.ravel()
+    n = counted(reps.select("words").mapInPandas(_counts(shingle), KIND), CELLS)
     return np.log2(np.maximum(n - n.mean(), 1)).astype(np.uint8)
 
 

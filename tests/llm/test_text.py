@@ -182,17 +182,14 @@ def page(r, furnish=True):
 
 
 def evidence(texts):
-    import zlib
-
     import pandas as pd
 
+    from corpusloom.llm import trees
+
     model = None
     for _ in range(furniture.ROUNDS):
-        n = np.zeros((2 * furniture.CELLS // furniture._SEGMENT + 1, furniture._SEGMENT))
-        for f in furniture._counts(model and type("Sent", (), {"value": model.odds}))([pd.DataFrame({"text": texts})]):
-            for s, b in zip(f["segment"], f["body"]):
-                n[s] = np.frombuffer(zlib.decompress(b), dtype=np.uint32)
-        model = furniture.Evidence.of(*n[:-1].reshape(2, furniture.CELLS), n[-1, :2])
+        parts = pd.concat(furniture._counts(model and type("Sent", (), {"value": model.odds}))([pd.DataFrame({"text": texts})]))
+        model = furniture._evidence(trees.whole_counts(parts.itertuples(index=False), 2 * furniture.CELLS + trees.SEGMENT))
         if model.odds is None:
             break
     return model
