@@ -2,7 +2,7 @@
 
 A text is the set of its shingles. Each shingle's 64-bit hash flips one bit of a *wide* parity sketch of 2^64 bits, kept as
 the list of its odd bits, and one bit of a *narrow* sketch, the wide one folded by XOR to a word for each 48 shingles (a
-power of two, by size band). The Hamming distance of two sketches, wide or narrow, is at most the symmetric difference of
+power of two, by size band), and further to ``CARRIED`` words where it travels with keys. The Hamming distance of two sketches, wide or narrow, is at most the symmetric difference of
 the sets. Sets of sizes a and b with a Jaccard similarity of at least t differ in at most
 ``D = floor((1 - t) / (1 + t) * (a + b))`` shingles. The steps:
 
@@ -17,7 +17,8 @@ the sets. Sets of sizes a and b with a Jaccard similarity of at least t differ i
    compared in the narrower of their widths.
 4. keys of more than ``HOT`` sets are cut, by size, into tiles of at most so many, and tiles are paired as tasks of their
    own; keys that the count knows as larger still are spread over several blocks before. No key is left out.
-5. pairs that are left are verified by their exact shingle sets.
+5. pairs that are left meet the narrow sketches of all words, one for each set and pair, and are refused by their distance.
+6. what is left then is verified by the exact shingle sets.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ HOT = 8192
 SPREAD = 1 << 16
 #: Keys of one block of the exchange.
 BLOCK_KEYS = 2_500_000
+#: Words of a sketch that travels with each key, as a power of two; more would make long texts' keys outweigh them.
+CARRIED = 2
 #: Cells of the table of counts. One byte each is sent to the executors: 4 MB.
 CELLS = 1 << 22
 _CHARS = 1 << 20
@@ -92,9 +95,9 @@ class Bands:
         b = np.ceil(self.t * a - 1e-9).astype(np.int64)
         return (a - b + self.differences(a, b)) // 2 + 1
 
-    def band(self, a: np.ndarray) -> np.ndarray:
-        """Bands double: up to 48 shingles, 96, 192, ..."""
-        return np.ceil(np.log2(np.maximum(a, 48) / 48) - 1e-12).astype(np.int64)
+    def band(self, a: np.ndarray, most: int = 40) -> np.ndarray:
+        """Bands double: up to 48 shingles, 96, 192, ...; those from ``most`` on are one."""
+        return np.minimum(np.ceil(np.log2(np.maximum(a, 48) / 48) - 1e-12).astype(np.int64), most)
 
 
 def _sketches(s: np.ndarray, d: np.ndarray, sets: np.ndarray, words: int) -> np.ndarray:
@@ -185,7 +188,7 @@ def _key_blocks(threshold: float, shingle: int, blocks: int, rare):
             s, d, size = _shingles(words.tolist(), shingle)
             if not len(s):
                 continue
-            rid, (which, key, rank), band = rid.to_numpy(), _entries(s, d, size, bands, rare.value), bands.band(size)
+            rid, (which, key, rank), band = rid.to_numpy(), _entries(s, d, size, bands, rare.value), bands.band(size, CARRIED)
             for b in np.unique(band[size > 0]):
                 sets = np.flatnonzero((band == b) & (size > 0))
                 sk = _sketches(s, d, sets, 1 << int(b))
@@ -346,6 +349,40 @@ def _tile_pairs(tiles: DataFrame, threshold: float) -> DataFrame:
     return sent.groupBy("mark", "one", "two").applyInPandas(_pairs_of_tiles(threshold), "a bigint, b bigint")
 
 
+def _all_sketches(threshold: float, shingle: int):
+    """``rid, size, sketch`` of all sets, at the width of their bands."""
+    bands = Bands(threshold)
+
+    def run(frames):
+        for rid, words in _batches(frames, ["rid", "words"]):
+            s, d, size = _shingles(words.tolist(), shingle)
+            band, rid = bands.band(size), rid.to_numpy()
+            for b in np.unique(band[size > 0]):
+                sets = np.flatnonzero((band == b) & (size > 0))
+                sk = _sketches(s, d, sets, 1 << int(b))
+                yield pd.DataFrame({"rid": rid[sets], "size": size[sets], "sketch": [x.tobytes() for x in sk]})
+
+    return run
+
+
+def _close(threshold: float):
+    """Pairs whose sketches are within the distance that the threshold allows."""
+    bands = Bands(threshold)
+
+    def run(frames):
+        for f in frames:
+            most = bands.differences(f["size_a"].to_numpy(), f["size_b"].to_numpy())
+            keep = np.zeros(len(f), bool)
+            for k, (x, y) in enumerate(zip(f["sketch_a"], f["sketch_b"])):
+                x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+                while len(y) > len(x):
+                    y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                keep[k] = int(np.bitwise_count(x ^ y).sum()) <= most[k]
+            yield f.loc[keep, ["a", "b"]]
+
+    return run
+
+
 def _verify(threshold: float, shingle: int):
     def run(frames):
         for f in frames:
@@ -390,8 +427,14 @@ def similar_classes(reps: DataFrame, threshold: float, shingle: int, hot: int =
     tiles = first.where("tile >= 0")
     if not tiles.isEmpty():
         pairs = pairs.unionByName(_tile_pairs(tiles, threshold))
-    pairs = durable(pairs.distinct())
+    met = durable(pairs.distinct())
     release(first)
+    sketches = durable(reps.select("rid", "words").mapInPandas(_all_sketches(threshold, shingle), "rid bigint, size bigint, sketch binary"))
+    both = met
+    for x in "ab":
+        both = both.join(sketches.select(F.col("rid").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")), x)
+    pairs = durable(both.mapInPandas(_close(threshold), "a bigint, b bigint"))
+    release(met, sketches)
     need = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
     texts = durable(reps.join(need, "rid"))
     side = lambda x: texts.select(F.col("rid").alias(x), F.col("words").alias(f"words_{x}"), F.col("seq").alias(f"seq_{x}"))

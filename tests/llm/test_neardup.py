@@ -115,6 +115,21 @@ def test_keys_spread_over_blocks(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == brute(rows, 0.6, 3)
 
 
+def test_very_long_texts(spark):
+    """A long text's keys stay in proportion to it, and its edited copy is found; a text that shares a third is not."""
+    r = random.Random(11)
+    words = [f"w{r.randrange(50_000)}" for _ in range(60_000)]
+    edited = list(words)
+    for i in r.sample(range(60_000), 3000):
+        edited[i] = "changed"
+    rows = [("a", " ".join(words)), ("b", " ".join(edited)), ("c", " ".join(words[:20_000] + [f"v{i}" for i in range(40_000)])), ("d", "short text of its own here")]
+    got = near_pairs(spark.createDataFrame(rows, "doc_id string, text string"), "doc_id", "text", 0.6, 3)
+    assert {tuple(x) for x in got.collect()} == {("a", "b")}
+    frame = pd.DataFrame({"rid": [1], "words": [rows[0][1]]})
+    rare = type("Sent", (), {"value": np.zeros(neardup.CELLS, dtype=np.uint8)})
+    assert sum(f["body"].str.len().sum() for f in neardup._key_blocks(0.6, 3, 2600, rare)([frame])) < 6 * len(rows[0][1])
+
+
 def test_exchange_of_many_blocks():
     """At the block count of 30 GB the packed keys stay below four times the text, and hardly grow with the count."""
     r = np.random.default_rng(8)
