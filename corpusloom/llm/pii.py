@@ -7,9 +7,10 @@ from the lexicon), and, for names in no lexicon, by titles and the words that in
 
 Surrogates keep type, format, letter case, script, check digits and the gender a given name shows. They are derived with a
 key, which has no default, name part by name part: a surname has one surrogate in all names and addresses of mailboxes, an
-initial is the first letter of every given name that begins with it. A distributed count finds parts (and whole values of
-other kinds) whose surrogate is another one's or a real one; all but one of them are derived again, so that distinct people
-stay distinct and mentions of one stay one.
+initial is the first letter of every given name that begins with it. A distributed count finds parts (names in persons and in
+mailboxes, names of streets) and then whole values of other kinds whose surrogate is another one's or a real one; all but one of
+them are derived again, so that distinct people stay distinct and mentions of one stay one. What is counted is what is written.
+House numbers need no count: on each street they are permuted.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import re
 import secrets
 import unicodedata
 from bisect import bisect_left
+from collections import ChainMap
 
 import numpy as np
 import pandas as pd
@@ -412,7 +414,9 @@ def normal(kind: str, v: str) -> str:
         v = re.sub(r"\s*[\[(]\s*at\s*[\])]\s*|\s+at\s+|\s*@\s*", "@", v, flags=re.I)
         return re.sub(r"\s*[\[(]\s*dot\s*[\])]\s*|\s+dot\s+", ".", v, flags=re.I).lower()
     if kind in ("phone", "card", "iban", "national_id"):
-        return "".join(c for c in v if c.isalnum()).upper()
+        n = "".join(c for c in v if c.isalnum()).upper()
+        # a number with 1 and ten digits is written with and without the plus
+        return "+" + n if kind == "phone" and (v[:1] == "+" or (len(n) == 11 and n[0] == "1")) else n
     if kind == "person" and "," in v:
         v = " ".join(reversed(v.split(",", 1)))
     return " ".join(re.findall(r"[^\W_]+", v.lower()))
@@ -423,6 +427,8 @@ _VOWEL = "a e i o u ai ei".split()
 #: Letters of scripts with vowels and consonants apart, and ranges of others.
 _LETTERS = {"CYRILLIC": ("бвгджзклмнпрст", "аеиоу"), "GREEK": ("βγδζκλμνπρστ", "αειοη"), "ARMENIAN": ("բգդզլկհմնպրստ", "աեիոու"), "GEORGIAN": ("ბგდვზთკლმნპრსტ", "აეიოუ")}
 _RANGES = {"HEBREW": (0x5D0, 0x5EA), "ARABIC": (0x627, 0x63A), "DEVANAGARI": (0x915, 0x939), "HIRAGANA": (0x304B, 0x3082), "KATAKANA": (0x30AB, 0x30E2), "HANGUL": (0xAC00, 0xD7A3), "CJK": (0x4E00, 0x9FA5), "THAI": (0xE01, 0xE2E)}
+#: Letters that names begin with, without marks.
+_ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x561, 0x587))), "".join(map(chr, range(0x10D0, 0x10F1))))
 #: Common given names by the gender they show. Names in neither show theirs by no ending but -a.
 _MALE = frozenset("luca andrea nicola mattia elia gianluca nikita ilya sasha misha joshua noah ezra philippe mike steve george james charles joe pete dave jake luke kyle blake wayne andre antoine etienne pierre jacques guillaume jerome maxime stephane gilles yves jules alexandre baptiste thomas lukas jonas matthias tobias andreas markus klaus hans carlos luis jesus marcos lucas nicolas matteo davide daniele michele gabriele emanuele simone giuseppe salvatore felipe jorge jose vicente enrique jaime".split())
 _WOMEN = frozenset("mary margaret elizabeth susan karen helen ruth carol sharon ann anne jane alice claire marie sophie julie nathalie isabelle catherine christine brigitte ingrid astrid birgit heike ute elke carmen dolores mercedes pilar rocio isabel raquel beatriz irene agnes edith judith esther miriam doris ingeborg hedwig gertrud".split())
@@ -447,12 +453,33 @@ def _like(word: str, new: str) -> str:
     return new.upper() if word.isupper() and len(word) > 1 else new.lower() if word.islower() else new.capitalize()
 
 
+def _alphabet(letter: str) -> str:
+    """The alphabet of a small letter without marks; empty if it is in none, as then it is no initial but a name of its own."""
+    return next((x for x in _ALPHABETS if letter in x), "")
+
+
 def _first_letter(key: bytes, letter: str) -> str:
     """The letter that stands for an initial: a keyed permutation of the alphabet, so that two initials stay two."""
-    if "a" <= letter <= "z":
-        return chr(97 + int(_stream(key, "initials").permutation(26)[ord(letter) - 97]))
-    alphabet = "".join(_LETTERS.get(script(letter), ("", "")))
-    return alphabet[int(_stream(key, "initials", script(letter)).permutation(len(alphabet))[alphabet.index(letter)])] if letter in alphabet else letter
+    alphabet = _alphabet(base := unicodedata.normalize("NFKD", letter)[0])
+    return alphabet[int(_stream(key, "initials", *[script(base)] * (base > "z")).permutation(len(alphabet))[alphabet.index(base)])] if alphabet else letter
+
+
+def _number(key: bytes, digits: str, *what) -> str:
+    """Digits in place of digits: for each ``what`` a keyed permutation of the numbers of one length, so that two stay two."""
+    stem = digits.lstrip("0")
+    if not stem:
+        return digits
+    low = 10 ** (len(stem) - 1)
+    half = max(2, ((9 * low).bit_length() + 1) // 2)  # a Feistel network on the next even number of bits, walked until in range
+    x = int(stem) - low
+    while True:
+        a, b = x >> half, x & ((1 << half) - 1)
+        for i in range(6):
+            d = hmac.new(key, "\u0001".join(map(str, ("number", *what, low, i, b))).encode(), hashlib.sha256).digest()
+            a, b = b, a ^ (int.from_bytes(d) & ((1 << half) - 1))
+        x = a << half | b
+        if x < 9 * low:
+            return digits[: len(digits) - len(stem)] + str(low + x)
 
 
 _CACHE: dict = {}
@@ -472,7 +499,7 @@ def new_part(key: bytes, role: str, word: str, attempt: int = 0) -> str:
         onset, vowel = _LETTERS.get(sc, (_ONSET, _VOWEL))
         new = "".join(onset[r.integers(len(onset))] + vowel[r.integers(len(vowel))] for _ in range(4))
         if role == "given":
-            first = _first_letter(key, unicodedata.normalize("NFKD", low)[0])
+            first = _first_letter(key, low[0])
             new = first + (new[1:] if first in vowel and new[0] in onset else "".join(new.partition(next(c for c in new if c in "".join(vowel)))[1:]) if first not in vowel else new)
             a, n = ("а", "н") if sc == "CYRILLIC" else ("α", "ν") if sc == "GREEK" else ("na", "n")
             new += {"f": a, "m": n, "n": ""}[shown_gender(low)]
@@ -495,14 +522,35 @@ def name_parts(value: str) -> list[tuple[int, int, str]]:
     last = [i for i, (s, _) in enumerate(words) if s < comma] if comma >= 0 else [len(words) - 1]
     while comma < 0 and last[0] > 0 and value[words[last[0]][0] - 1] == "-":  # a surname of two hyphened ones
         last.insert(0, last[0] - 1)
-    return [(s, e, "surname" if i in last else "initial" if e - s == 1 else "given") for i, (s, e) in enumerate(words)]
+    return [(s, e, "surname" if i in last else "initial" if e - s == 1 and _alphabet(unicodedata.normalize("NFKD", value[s].lower())[0]) else "given") for i, (s, e) in enumerate(words)]
+
+
+def street_parts(value: str) -> list[tuple[int, int]]:
+    """(start, end) of the words of an address that name its street in any reading; of a text that is no address, of all its words."""
+    read = [m.span("n") for r in _ADDRESS if (m := r.fullmatch(value))]
+    return sorted({w.span() for a, b in read or [(0, len(value))] for w in re.compile(r"[^\W\d_]+").finditer(value, a, b)})
+
 
+#: Roles of the parts of names; all other roles are kinds, whose values are replaced as a whole.
+PARTS = ("given", "surname", "street")
 
-def parts_of(kind: str, value: str) -> list[tuple[str, str]]:
-    """What of a value gets a surrogate of its own: (role, normal form) of name parts, or of the whole of another kind."""
+
+def parts_of(kind: str, value: str, roles=None) -> list[tuple[str, str]]:
+    """What of a value gets a surrogate of its own: (role, normal form) of name parts, of the names of streets, or of the
+    whole of another kind; of an address of a mailbox both the whole and the names in it, which ``roles`` knows.
+
+    Initials and the numbers of addresses are permuted, so they need no count.
+    """
     if kind == "person":
         return [(role, value[s:e].lower()) for s, e, role in name_parts(value) if role != "initial"]
-    return [(kind, normal(kind, value))] if kind != "address" else []
+    if kind == "address":
+        return [("street", value[s:e].lower()) for s, e in street_parts(value)]
+    n = normal(kind, value)
+    named = _MAILBOX.findall(n.split("@")[0]) if kind == "email" and roles else []
+    return [(kind, n), *((role, w) for w in named if (role := roles(w)))]
+
+
+_MAILBOX = re.compile(r"[^\W\d_]+|\d{1,18}|[\W_]")
 
 
 def surrogate(kind: str, value: str, key: bytes, attempts=None, roles=None) -> str:
@@ -525,17 +573,23 @@ def surrogate(kind: str, value: str, key: bytes, attempts=None, roles=None) -> s
         return "".join([*out, value[at:]])
     r = _stream(key, kind, n, again)
     if kind == "email":
-        local = n.split("@")[0]
+        local, _, domain = n.partition("@")
         known = roles or (lambda w: None)
-        new = "".join(part(role, w) if (role := known(w)) else w if not w[:1].isalnum() else str(r.integers(10 ** (len(w) - 1), 10 ** len(w))) if w.isdigit() else w if len(w) == 1 else "".join(_ONSET[r.integers(len(_ONSET))] + _VOWEL[r.integers(len(_VOWEL))] for _ in range(3)) for w in re.findall(r"[^\W\d_]+|\d+|[\W_]", local))
-        new += (str(r.integers(10, 100)) if again or not any(known(w) for w in re.findall(r"[^\W\d_]+", local)) else "") + "@" + ("example.org", "example.net", "example.com")[r.integers(3)]
+        words = _MAILBOX.findall(local)
+        at = [w for w in words if not w.isdecimal()]
+        syllables = lambda n, r: "".join(_ONSET[r.integers(len(_ONSET))] + _VOWEL[r.integers(len(_VOWEL))] for _ in range(n))
+        new = "".join(part(role, w) if (role := known(w)) else w if not w[:1].isalnum() else _number(key, w, "mailbox", *at) if w.isdecimal() else _first_letter(key, w) if len(w) == 1 else syllables(3, r) for w in words)
+        # more digits with each attempt: of one name's mailboxes there may be any number
+        new += str(r.integers(10 ** (again + 1), 10 ** (again + 2))) if again or not any(known(w) for w in at) else ""
+        r = _stream(key, "domain", domain)
+        new += "@" + syllables(4, r) + (".example.org", ".example.net", ".example.com")[r.integers(3)]
         return new.upper() if value.isupper() else new
     if kind in ("phone", "card", "iban", "national_id"):
-        keep = {"iban": 2, "phone": 0}.get(kind, 1 if n[:1].isalpha() else 0)
-        m = re.match(r"\+\d{1,2}", value) if kind == "phone" else None
-        keep = len(m.group()) - 1 if m else keep
+        plus = n[:1] == "+"
+        n = n.removeprefix("+")
+        keep = {"iban": 2, "phone": plus + (plus and n[0] not in "17")}.get(kind, 1 if n[:1].isalpha() else 0)  # of the form without spelling, as this is what is counted
         new = [c if i < keep else str(r.integers(10)) if c.isdigit() else chr(65 + r.integers(26)) for i, c in enumerate(n)]
-        if kind == "phone" and not m and n[0] == "0":
+        if kind == "phone" and not plus and n[0] == "0":
             new[0] = "0"
         elif kind in ("phone", "card") and new[keep] == "0":
             new[keep] = "5"
@@ -553,54 +607,53 @@ def surrogate(kind: str, value: str, key: bytes, attempts=None, roles=None) -> s
         it = iter(new)
         out = "".join(next(it) if c.isalnum() else c for c in value)
         return out.lower() if value.islower() else out
-    fixed = re.compile(rf"(?:{_EN_STREET}|Flat|Apt|Apartment|Unit|Suite|Ste|rue|avenue|place|boulevard|bd|chemin|impasse|all[ée]e|quai|route|cours|bis|ter|de|du|des|la|le|d|l|C|Calle|Avenida|Avda|Plaza|Paseo|Camino|Ronda|Via|Viale|Piazza|Corso|Am|An|Auf|Im|In|der|dem|den|Zum|Zur|Unter|[A-Z])", re.I)
-    end = re.compile(rf"({_DE_END.replace('str' + chr(92) + '.', 'str')}|straat|laan|plein|gracht|kade)$", re.I)
+    named = street_parts(value)
+    street = [value[s:e].lower() for s, e in named]
+    out, at = [], 0
+    for s, e in [*named, (len(value), len(value))]:
+        out += [re.sub(r"\d{1,18}", lambda m: _number(key, m.group(), "street", *street), value[at:s]), _like(value[s:e], part("street", value[s:e])) if e > s else ""]
+        at = e
+    return "".join(out)
 
-    def street(w):
-        if w.isdigit():
-            x = _stream(key, "number", n, w)
-            return str(x.integers(10 ** (len(w) - 1), 10 ** len(w)))
-        if not re.fullmatch(r"[^\W\d_]+", w) or fixed.fullmatch(w):
-            return w
-        m = end.search(w)
-        stem = w[: m.start()] if m and m.start() else w
-        return _like(w, new_part(key, "street", stem) + (m.group().lower() if m and m.start() else ""))
 
-    return "".join(map(street, re.split(r"([^\W\d_]+|\d+)", value)))
+def _render(role: str, word: str, key: bytes, attempt: int, tried=None, roles=None) -> str:
+    """The normal form of a part's surrogate; ``tried`` has the attempts of the names within whole values."""
+    if role in PARTS:
+        return new_part(key, role, word, attempt)
+    return normal(role, surrogate(role, word, key, ChainMap({(role, word): attempt}, tried or {}), roles))
 
 
-def _render(role: str, word: str, key: bytes, attempt: int) -> str:
-    """The normal form of a part's surrogate."""
-    if role in ("given", "surname"):
-        return new_part(key, role, word, attempt)
-    return normal(role, surrogate(role, word, key, {(role, word): attempt}))
+def _roles(known: Names):
+    """Tells for a lower-cased word whether it is a given name or a surname."""
+    return lambda w: "given" if w in known.given else "surname" if len(w) > 3 and known.surname(w) else None
 
 
 #: Parts that may have to be derived again: collisions of 64-bit-like spaces are few, and this many are a broadcast of 60 MB.
 EXCEPTIONS = 1_000_000
 
 
-def again(parts: DataFrame, key: bytes, rounds: int = 8, make=_render) -> DataFrame:
+def again(parts: DataFrame, key: bytes, rounds: int = 8, make=_render, names=None, tried=None) -> DataFrame:
     """``role, normal, attempt`` of the parts whose first surrogate is that of another part or a real one.
 
     ``parts``: role, normal. Only the exceptions are kept; each round counts all surrogates anew. After ``rounds`` an error
-    is raised.
+    is raised. ``names`` and ``tried`` (a lexicon, and a broadcast of its parts' attempts) are for whole values that hold names.
     """
     spark = parts.sparkSession
     values = durable(parts.select("role", "normal").distinct())
     done = spark.createDataFrame([], "role string, normal string, attempt int")
 
     def render(frames):
+        more = {"tried": tried.value, "roles": _roles(_names(names))} if names is not None else {}
         for f in frames:
-            yield f.assign(s=[make(k, v, key, int(a)) for k, v, a in zip(f["role"], f["normal"], f["attempt"])])[["role", "normal", "attempt", "s"]]
+            yield f.assign(s=[make(k, v, key, int(a), **more) for k, v, a in zip(f["role"], f["normal"], f["attempt"])])[["role", "normal", "attempt", "s"]]
 
     for _ in range(rounds):
         now = values.join(done, ["role", "normal"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
         made = durable(now.mapInPandas(render, "role string, normal string, attempt int, s string"))
         # a surrogate must be no other value's surrogate, and no real value
         first = made.groupBy("role", "s").agg(F.min("normal").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        real = made.join(values.select("role", F.col("normal").alias("s")), ["role", "s"], "left_semi").select("role", "normal", "attempt")
-        clash = made.join(first, ["role", "s"]).where("normal <> first").select("role", "normal", "attempt").union(real).distinct()
+        real = made.join(values.select("role", F.col("normal").alias("s")).hint("merge"), ["role", "s"], "left_semi").select("role", "normal", "attempt")
+        clash = made.hint("merge").join(first, ["role", "s"]).where("normal <> first").select("role", "normal", "attempt").union(real).distinct()
         clash = durable(clash.withColumn("attempt", F.col("attempt") + 1))
         release(made)
         if clash.isEmpty():
@@ -612,8 +665,9 @@ def again(parts: DataFrame, key: bytes, rounds: int = 8, make=_render) -> DataFr
 def surrogates(df: DataFrame, names: list[tuple[str, str]], key: bytes, id_col: str = "doc_id", text_col: str = "text_deep_clean") -> DataFrame:
     """``doc_id, surrogate_text, n_values``: every row with surrogates in place of its values.
 
-    Texts are searched once and written beside the places found; the surrogates are checked over all distinct parts; then
-    the texts are rewritten where they lie, as only the exceptions are sent to them. Null texts stay null.
+    Texts are searched once and written beside the places found; the surrogates are checked over all distinct parts of names,
+    then, with these, over all distinct whole values; then the texts are rewritten where they lie, as only the exceptions are
+    sent to them. Null texts stay null.
     """
     if not key:
         raise ValueError("surrogates need a key")
@@ -621,22 +675,30 @@ def surrogates(df: DataFrame, names: list[tuple[str, str]], key: bytes, id_col:
 
     def search(frames):
         known = _names(names)
+        roles = _roles(known)
         for f in frames:
             got = [find(t, known) for t in f["text"]]
-            parts = [sorted({p for s, e, k in g for p in parts_of(k, t[s:e])}) for t, g in zip(f["text"], got)]
+            parts = [sorted({p for s, e, k in g for p in parts_of(k, t[s:e], roles)}) for t, g in zip(f["text"], got)]
             yield pd.DataFrame({"doc_id": f["doc_id"], "text": f["text"], "at": [[{"s": s, "e": e, "k": k} for s, e, k in g] for g in got], "parts": [[{"role": r, "normal": n} for r, n in p] for p in parts]})
 
     src = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     found = durable(src.mapInPandas(search, "doc_id string, text string, at array<struct<s: bigint, e: bigint, k: string>>, parts array<struct<role: string, normal: string>>"))
-    redo = again(found.select(F.explode("parts").alias("p")).select("p.*"), key)
-    rows = redo.limit(EXCEPTIONS + 1).collect()  # collisions alone
-    if len(rows) > EXCEPTIONS:
-        raise ValueError(f"more than {EXCEPTIONS} surrogates collide")
-    sent = df.sparkSession.sparkContext.broadcast({(r["role"], r["normal"]): r["attempt"] for r in rows})
+    parts = durable(found.select(F.explode("parts").alias("p")).select("p.*").distinct())
+    sc = df.sparkSession.sparkContext
+
+    def exceptions(redo: DataFrame) -> dict:
+        rows = redo.limit(EXCEPTIONS + 1).collect()  # collisions alone
+        if len(rows) > EXCEPTIONS:
+            raise ValueError(f"more than {EXCEPTIONS} surrogates collide")
+        return {(r["role"], r["normal"]): r["attempt"] for r in rows}
+
+    redo = exceptions(again(parts.where(F.col("role").isin(*PARTS)), key))
+    redo |= exceptions(again(parts.where(~F.col("role").isin(*PARTS)), key, names=names, tried=sc.broadcast(dict(redo))))
+    release(parts)
+    sent = sc.broadcast(redo)
 
     def rewrite(frames):
-        known = _names(names)
-        role = lambda w: "given" if w in known.given else "surname" if len(w) > 3 and known.surname(w) else None
+        role = _roles(_names(names))
         for f in frames:
             texts = [replaced(t, [(x["s"], x["e"], surrogate(x["k"], t[x["s"] : x["e"]], key, sent.value, role)) for x in a]) for t, a in zip(f["text"], f["at"])]
             yield pd.DataFrame({"doc_id": f["doc_id"], "surrogate_text": texts, "n_values": [len(a) for a in f["at"]]})

@@ -151,6 +151,70 @@ def test_surrogates_of_frames(spark):
         pii.surrogates(df, rows, b"", text_col="text")
 
 
+def test_addresses_are_counted_and_stay_distinct():
+    assert pii.parts_of("address", "12B Old Oak Road, Apt 4") == [("street", "old"), ("street", "oak")]
+    assert pii.parts_of("address", "Lindenstraße 5") == pii.parts_of("address", "Am Linden 5") == [("street", "linden")]
+    sub = lambda v, **kw: pii.surrogate("address", v, b"k", **kw)
+    assert sub("5 Hill Road").split()[1] != "Hill" and sub("12 rue de la Ronda").split()[-1] != "Ronda"  # names that are words of streets too
+    assert sub("Lindenstraße 5").endswith("straße " + sub("12 Linden Road, Flat 5").split()[-1])
+    street = sub("12 Oak Road").split()[1]
+    assert sub("12 OAK ROAD").split()[1] == street.upper() and sub("12 Oak Road", attempts={("street", "oak"): 1}).split()[1] != street
+    numbers = [str(n) for n in range(1, 2000)]
+    made = [sub(f"{n} Oak Road") for n in numbers] + [sub(f"5 Oak Road, Apt {'7' * 5000}{x}") for x in range(10)]
+    assert len(set(made)) == len(numbers) + 10 and [len(x) for x in made] == [len(f"{n} {street} Road") for n in numbers] + [len(f"5 {street} Road, Apt ") + 5001] * 10
+
+
+def test_mailboxes_of_one_name_stay_distinct():
+    role = lambda w: {"mirela": "given", "kolbaux": "surname"}.get(w)
+    assert pii.parts_of("email", "Mirela.Kolbaux7 (at) x.org", role) == [("email", "mirela.kolbaux7@x.org"), ("given", "mirela"), ("surname", "kolbaux")]
+    every = [f"mirela{n}@{d}.org" for n in range(10, 100) for d in "vwxyz"] + [f"{x}.kolbaux@v.org" for x in "abcdefghijklmnopqrstuvwxyz"] + ["1" * 5000 + "@v.org"]
+    assert len({pii.surrogate("email", x, b"k", roles=role) for x in every}) == len(every)
+    assert pii.surrogate("email", "m.kolbaux@v.org", b"k", roles=role)[0] == pii.surrogate("person", "M. Kolbaux", b"k")[0].lower()
+    assert pii.surrogate("person", "王 小明", b"k")[0] != "王" and pii.parts_of("person", "王 小明") == [("given", "王"), ("surname", "小明")]
+    assert pii.surrogate("person", "É. Kolbaux", b"k")[:2] == pii.surrogate("person", "Émile Kolbaux", b"k")[0] + "."
+    assert len({pii.surrogate("person", f"{x}. Петров", b"k")[0] for x in "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"}) == 28
+
+
+def test_what_is_counted_is_what_is_written():
+    role = lambda w: {"mirela": "given", "kolbaux": "surname"}.get(w)
+    tried = {("surname", "kolbaux"): 2}
+    for kind, value in [("email", "Mirela.Kolbaux7 (at) x.org"), ("email", "a.b@x.org"), ("phone", "+44 20 7946 0404"), ("phone", "+1 (702) 555-0129"), ("phone", "020 7946 0404"), ("card", "4111-1111-1111-1111"), ("iban", "NL61 XBNK 0377 6862 52"), ("national_id", "12345678-Z")]:
+        n = pii.normal(kind, value)
+        for attempt in range(3):
+            assert pii._render(kind, n, b"k", attempt, tried, role) == pii.normal(kind, pii.surrogate(kind, value, b"k", tried | {(kind, n): attempt}, role))
+    for other in ("+1 (702) 555-0129", "1 702-555-0129"):
+        assert pii.surrogate("phone", "+17025550129", b"k") == "+" + "".join(c for c in pii.surrogate("phone", other, b"k") if c.isdigit())
+
+
+def test_surrogates_of_streets_and_mailboxes_that_collide(spark, monkeypatch):
+    """Names of streets, and names that stand in mailboxes alone, get other surrogates if theirs collide; so do whole values."""
+    real, counted = pii.again, set()
+
+    def again(parts, key, **kw):
+        rows = {(r["role"], r["normal"]) for r in parts.collect()}
+        counted.update(rows)
+        found = [x for x in [("street", "oak"), ("given", "mirela"), ("phone", "+442079460404")] if x in rows]
+        return real(parts, key, **kw).union(spark.createDataFrame([(*x, 1) for x in found], "role string, normal string, attempt int"))
+
+    monkeypatch.setattr(pii, "again", again)
+    df = spark.createDataFrame([("a", "at 5 Oak Road now"), ("b", "ring +44 20 7946 0404 now"), *((d, f"mail mirela@{d}.org now") for d in "uvwxyz")], "doc_id string, text string")
+    got = {r["doc_id"]: r["surrogate_text"] for r in pii.surrogates(df, [("Mirela", "given"), ("Anselm", "given")], b"key", text_col="text").collect()}
+    assert counted == {("street", "oak"), ("given", "mirela"), ("phone", "+442079460404"), *(("email", f"mirela@{d}.org") for d in "uvwxyz")}
+    assert got["a"] == "at " + pii.surrogate("address", "5 Oak Road", b"key", {("street", "oak"): 1}) + " now" != "at " + pii.surrogate("address", "5 Oak Road", b"key") + " now"
+    assert got["b"] == "ring " + pii.surrogate("phone", "+44 20 7946 0404", b"key", {("phone", "+442079460404"): 1}) + " now"
+    boxes = {got[d].split()[1] for d in "uvwxyz"}
+    assert len(boxes) == 6 and {x.split("@")[0] for x in boxes} == {pii.new_part(b"key", "given", "mirela", 1)}
+
+
+def test_mailboxes_are_counted_with_the_names_in_them(spark):
+    """Whole values are counted with the names in them and the attempts of these."""
+    rows, tried = [("Mirela", "given")], {("given", "mirela"): 3}
+    box = pii._render("email", "mirela@x.org", b"k", 0, tried, lambda w: "given" if w == "mirela" else None)
+    parts = spark.createDataFrame([("email", "mirela@x.org"), ("email", box)], "role string, normal string")  # what is written is a real mailbox
+    redo = {r["normal"]: r["attempt"] for r in pii.again(parts, b"k", names=rows, tried=spark.sparkContext.broadcast(tried)).collect()}
+    assert redo == {"mirela@x.org": 1}
+
+
 def test_spans_of_frames(spark):
     df = spark.createDataFrame([("a", "Mail x@y.org", 1), ("b", None, 2), ("c", "", 3)], "doc_id string, text string, start_at int")
     rows = [("Mirela", "given")]
